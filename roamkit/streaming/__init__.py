@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The workloads this package rebuilds are batch report builds and a daily staged
+load.  Their incrementality is partition selection (``plans.load``) and
+previous-run snapshots (``sources.tables.snapshot``), both batch.  There is no
+watermark, event-time window or state store to express, so nothing lives here;
+the package keeps the module so the layout is uniform.
+"""
