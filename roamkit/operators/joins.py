@@ -22,7 +22,8 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for ``df`` (file sizes for scans)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
