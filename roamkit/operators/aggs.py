@@ -124,6 +124,29 @@ def rank_totals(df: DataFrame, by: Sequence[str], total: str, alias: str) -> Dat
     return _rejoin(df, ranks, [*by, total])
 
 
+def with_totals_and_ranks(df: DataFrame, by: Sequence[str], c: str,
+                          specs: Sequence[tuple[str, str, str | None]], exact: bool = True) -> DataFrame:
+    """Several ``sum(c) over (partition by by + key)`` totals, each optionally ranked within ``by``.
+
+    ``specs`` holds ``(key, total_alias, rank_alias)``.  Each total is one
+    partial aggregate of ``df`` by (by, key); its dense rank within ``by``
+    (ascending, NULLs first) is computed on that per-key table, because a
+    total is a function of its key, so ranking keys ranks the distinct totals.
+    Every table is joined back to ``df`` itself, so the plan grows linearly
+    with the number of totals instead of nesting each step in the next.
+    """
+    dtype = dict(df.dtypes)[c]
+    out = df
+    for key, total, rank in specs:
+        keys = [*by, key]
+        small = df.groupBy(*keys).agg(_sum(c, dtype, exact).alias(total))
+        if rank is not None:
+            small = small.withColumn(rank, F.dense_rank().over(
+                Window.partitionBy(*by).orderBy(F.col(total).asc_nulls_first())))
+        out = _rejoin(out, small, keys)
+    return out
+
+
 # W05 ---------------------------------------------------------------------------------
 def rolling_avg(df: DataFrame, keys: Sequence[str], order: str, c: str, alias: str, preceding: int = 6,
                 exact: bool = True) -> DataFrame:

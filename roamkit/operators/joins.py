@@ -20,10 +20,22 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for ``df`` (file sizes for scans)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
+    """Catalyst's size estimate for ``df`` (file sizes for scans).
+
+    Read from the statistics' text form: the raw number can run to thousands
+    of digits for stacked joins, which is no use and does not convert.
+    """
+    text = df._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    value = text.split("sizeInBytes=", 1)[1].split(",", 1)[0].strip()
+    number, _, unit = value.partition(" ")
+    try:
+        return min(int(min(float(number), 1e30) * _UNITS.get(unit or "B", 1 << 60)), 1 << 62)
+    except (ValueError, OverflowError):
+        return 1 << 62
 
 
 def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

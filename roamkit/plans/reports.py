@@ -85,10 +85,8 @@ def steering_performance(t: Tables, cfg: SteeringConfig = SteeringConfig()) -> D
         "target_group_name", F.col("country_description").alias("target_country_name"), "target_region_name",
         *CAPTURE_PASSTHROUGH, M.cost_delta().alias("cost_delta"),
         F.coalesce(F.col("curr_out_final_iot"), F.lit(0.0)).alias("iot_rate"), *CAPTURE_TAIL)
-    for total, key, _ in STEERING_TOTALS:
-        df = A.with_total(df, ["call_year_month", key], "cost_delta", total)
-    for total, _, rank in STEERING_TOTALS:
-        df = A.rank_totals(df, ["call_year_month"], total, rank)
+    df = A.with_totals_and_ranks(df, ["call_year_month"], "cost_delta",
+                                 [(key, total, rank) for total, key, rank in STEERING_TOTALS])
     df = U.cutover(df, "call_year_month", cfg.cutover_month, "source_tadig", cfg.cutover_excluded)
     return df.select(*STEERING_COLUMNS)
 
