@@ -131,12 +131,12 @@ def as_valid_join(fact: DataFrame, windows: DataFrame, date_col: str, start: str
     """
     months = F.sequence(F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month"))
     w = (windows.where(F.col(start) <= F.col(end))
-         .select(F.explode(months).alias("__bucket"), F.col(start).alias("__start"), F.col(end).alias("__end"),
+         .select(F.explode(months).alias("__bucket"), F.col(start).alias("__vw_start"), F.col(end).alias("__vw_end"),
                  *[F.col(c).alias(o) for o, c in columns.items()]))
     w = bounded_broadcast(w)
     f = fact.withColumn("__fbucket", F.trunc(F.col(date_col), "month"))
-    cond = (f["__fbucket"] == w["__bucket"]) & (f[date_col] >= w["__start"]) & (f[date_col] <= w["__end"])
-    return f.join(w, cond, how).drop("__fbucket", "__bucket", "__start", "__end")
+    cond = (f["__fbucket"] == w["__bucket"]) & (f[date_col] >= w["__vw_start"]) & (f[date_col] <= w["__vw_end"])
+    return f.join(w, cond, how).drop("__fbucket", "__bucket", "__vw_start", "__vw_end")
 
 
 def assign_period(df: DataFrame, periods: DataFrame, date_col: str, start: str, end: str,

@@ -292,8 +292,8 @@ def contract_register(t: Tables) -> DataFrame:
     neg = neg.select("id", "contract_category", M.name_from_email("negotiator_email").alias("negotiator"))
     sec = P.active(t["crm_contract"])
     df = J.lookup(sec, neg, {"ecas": "id"}, {"negotiator": "negotiator", "contract_category": "contract_category"})
-    df = df.withColumn("__start", S.parse_crm_date("start_date"))
-    df = J.assign_period(df, t["fiscal_year"], "__start", "fy_start_date", "fy_end_date", {"fiscal_year": "fy"})
+    df = df.withColumn("__start_date", S.parse_crm_date("start_date"))
+    df = J.assign_period(df, t["fiscal_year"], "__start_date", "fy_start_date", "fy_end_date", {"fiscal_year": "fy"})
     users = t["crm_user"]
     df = J.lookup(df, users, {"contract_manager": "id"}, {"email_id": "email_id", "__cm_name": "name"})
     df = J.lookup(df, users, {"commercial_manager": "id"}, {"__com_name": "name"})
@@ -301,7 +301,7 @@ def contract_register(t: Tables) -> DataFrame:
     return df.select(
         F.col("name").alias("deal_id"), "contract_name", *CONTRACT_PASSTHROUGH,
         S.parse_crm_date("effective_date").alias("effective_date"), "negotiator", "contract_type", "contract_category",
-        "fiscal_year", "lawyer", F.col("__start").alias("start_date"), "ecas", "entity_name", "contract_doc_link",
+        "fiscal_year", "lawyer", F.col("__start_date").alias("start_date"), "ecas", "entity_name", "contract_doc_link",
         "contract_document", "amendment_to_be_reported", "amendment_type", "is_split_contract", "main_contract",
         "isr_deal", "discounted_charges_ib_revenue", "discounted_charges_ob_revenue", "contract_manager", "action",
         "email_id", F.col("__cm_name").alias("name"), "contract_complexity",
