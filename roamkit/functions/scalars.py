@@ -110,7 +110,7 @@ def parse_crm_date(c: ColumnOrName, strict: bool = True) -> Column:
     text that is not a date, as the warehouse parser does; otherwise NULL.
     """
     text = crm_date_text(c)
-    return F.to_date(text, "MMM d yyyy") if strict else F.try_to_date(text, F.lit("MMM d yyyy"))
+    return F.to_date(text, "MMM d yyyy") if strict else F.try_to_date(text, "MMM d yyyy")
 
 
 # F14 / F15 -------------------------------------------------------------------
