@@ -126,31 +126,35 @@ def rate_lookup(usage: DataFrame, rates: DataFrame, rate_col: str, isr: Column,
     latest rate of the pair and call type - the latest month overall, which may
     be later than the call - unless it is more than ``fallback_months`` older
     than the call.  ISR traffic has no rate.
+
+    Both look-ups are served by one equi-join on (partner, home, call type):
+    the rate card is first folded to one row per key holding that key's month
+    entries (bounded by the calendar: one per month of rate history) and its
+    latest month.  The usage side is therefore shuffled at most once (not at
+    all when the folded card is small enough to broadcast).  Duplicate month
+    rows still fan out, as two separate joins would.
     """
-    r = rates.select("dst_tadig", "src_tadig", "call_type", "call_year_month", F.col(rate_col).alias("__rate"))
-    exact = r.select(F.col("dst_tadig"), F.col("src_tadig"), F.col("call_type"),
-                     F.col("call_year_month").cast("bigint").alias("__m"),
-                     F.col("call_year_month").alias("__x_month"), F.col("__rate").alias("__x_rate"))
-    top = A.latest(r, ["dst_tadig", "src_tadig", "call_type"], "call_year_month") \
-        .select("dst_tadig", "src_tadig", "call_type",
-                F.col("call_year_month").alias("__l_month"), F.col("__rate").alias("__l_rate"))
-    out = J.lookup(usage, exact, {"their_pmn_tadig_code": "dst_tadig", "my_pmn_tadig_code": "src_tadig",
-                                  "call_month": "__m", "call_type": "call_type"},
-                   {"__x_month": "__x_month", "__x_rate": "__x_rate"})
-    out = J.lookup(out, top, {"their_pmn_tadig_code": "dst_tadig", "my_pmn_tadig_code": "src_tadig",
-                              "call_type": "call_type"},
-                   {"__l_month": "__l_month", "__l_rate": "__l_rate"})
-    too_old = F.col("__l_month").cast("bigint") < S.yyyymm(F.add_months(F.col("call_date"), -fallback_months))
-    fb_rate = F.when(too_old, F.lit(None)).otherwise(F.col("__l_rate"))
-    fb_month = F.when(too_old, F.lit(None)).otherwise(F.col("__l_month"))
-    rate = F.when(isr, F.lit(None)).otherwise(
-        F.when(F.col("__x_rate").isNull(), fb_rate).otherwise(F.col("__x_rate")))
-    month = F.when(isr, F.lit(None)).otherwise(
-        F.when(F.col("__x_rate").isNull(), fb_month).otherwise(F.col("__x_month")))
+    keys = ["dst_tadig", "src_tadig", "call_type"]
+    entry = F.struct(F.col("call_year_month").cast("bigint").alias("m"), F.col("call_year_month").alias("t"),
+                     F.col(rate_col).cast("double").alias("r"))
+    folded = rates.groupBy(*keys).agg(F.collect_list(entry).alias("__months"),
+                                      F.max("call_year_month").alias("__top"))
+    out = J.lookup(usage, folded, {"their_pmn_tadig_code": "dst_tadig", "my_pmn_tadig_code": "src_tadig",
+                                   "call_type": "call_type"}, {"__months": "__months", "__top": "__top"})
+    month = F.col("call_month")
+    out = out.withColumn("__x", F.explode_outer(F.filter("__months", lambda e: e["m"] == month)))
+    out = out.withColumn("__l", F.explode_outer(F.filter("__months", lambda e: e["t"].eqNullSafe(F.col("__top")))))
+    x_rate, x_month = F.col("__x.r"), F.col("__x.t")
+    l_rate, l_month = F.col("__l.r"), F.col("__l.t")
+    too_old = l_month.cast("bigint") < S.yyyymm(F.add_months(F.col("call_date"), -fallback_months))
+    fb_rate = F.when(too_old, F.lit(None)).otherwise(l_rate)
+    fb_month = F.when(too_old, F.lit(None)).otherwise(l_month)
+    rate = F.when(isr, F.lit(None)).otherwise(F.when(x_rate.isNull(), fb_rate).otherwise(x_rate))
+    month_out = F.when(isr, F.lit(None)).otherwise(F.when(x_rate.isNull(), fb_month).otherwise(x_month))
     if not month_as_text:
-        month = month.cast("bigint")
-    return (out.withColumn("iot_rate", rate.cast("double")).withColumn("iot_call_year_month", month)
-            .drop("__x_month", "__x_rate", "__l_month", "__l_rate"))
+        month_out = month_out.cast("bigint")
+    return (out.withColumn("iot_rate", rate.cast("double")).withColumn("iot_call_year_month", month_out)
+            .drop("__months", "__top", "__x", "__l"))
 
 
 # M09 ---------------------------------------------------------------------------

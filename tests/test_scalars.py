@@ -18,6 +18,7 @@ def one(spark, expr, value, schema="s string"):
     ("first.last", "First.Last"),
     ("a_b(c)d/e", "A_B(C)D/E"),
     ("", ""),
+    ("united  KINGDOM of 1st o'brien", "United  Kingdom Of 1st O'brien"),
     (None, None),
 ])
 def test_initcap_splits_on_punctuation(spark, text, expected):
