@@ -417,7 +417,7 @@ select cast(count(distinct o.o_custkey) as bigint) as count_imsi, cast(count(*)
        lower(nc.n_name) as home_country, 'op ' || lower(nc.n_name) as home_operator, rc.r_name as home_tadig,
        cast(ns.n_nationkey as string) as vmcc, cast(rs.r_regionkey as string) as vmnc,
        lower(ns.n_name) as visited_country, 'op ' || lower(ns.n_name) as visited_operator, rs.r_name as visited_tadig,
-       case when rs.r_regionkey = 3 then 'Y' else 'N' end as visited_is_vodafone,
+       case when rs.r_regionkey = 3 then 'Y' else 'N' end as visited_in_group,
        cast(year(o.o_orderdate) * 100 + month(o.o_orderdate) as string) as extract_year_month
 from {d.t('lineitem')} l
 join {d.t('orders')} o on l.l_orderkey = o.o_orderkey
