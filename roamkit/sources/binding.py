@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -561,15 +562,32 @@ def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 if name in _DATE_SORTED:
                     c = _DATE_SORTED[name]
                     writer = df.repartitionByRange(c).sortWithinPartitions(c)
-                w = writer.write.mode("overwrite")
                 if name in _PARTITIONED:
-                    w = writer.repartition(_PARTITIONED[name]).write.mode("overwrite").partitionBy(_PARTITIONED[name])
-                w.parquet(path)
+                    writer = writer.repartition(_PARTITIONED[name])
+                # Write beside the final path and rename: a concurrent or failed
+                # writer never leaves a half-written table at ``path``.
+                tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+                w = writer.write.mode("errorifexists")
+                if name in _PARTITIONED:
+                    w = w.partitionBy(_PARTITIONED[name])
+                w.parquet(tmp)
+                _rename(spark, tmp, path)
             frames[name] = spark.read.parquet(path)
         _memo[key] = frames
         return frames
 
 
+def _rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move ``src`` to ``dst``; if another writer got there first, keep theirs."""
+    jvm = spark.sparkContext._jvm
+    s, d = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = s.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(d) and not fs.exists(jvm.org.apache.hadoop.fs.Path(dst + "/_SUCCESS")):
+        fs.delete(d, True)  # leftover of a writer that died before committing
+    if not fs.rename(s, d):
+        fs.delete(s, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
