@@ -18,7 +18,8 @@ Mapping (one row per line item unless stated):
                    matches miss often and the fallback rate is exercised.
   capture_rate_performance  outbound traffic shares per month, type, home, partner.
   CRM tables       orders / suppliers / customers re-read as contracts, assets,
-                   footprint services, negotiators and users.
+                   footprint services (one per order, from all its lines),
+                   negotiators and users.
   landing / audit / dag_run  ``events`` by day and event type.
 """
 
@@ -260,8 +261,10 @@ select 'SO-' || cast(l.l_orderkey as string) as name,
        'A' || cast(l.l_suppkey as string) as vplmn_asset_service,
        'C' || cast(o.o_custkey as string) as hplmn_account_asset_service,
        case when o.o_orderstatus = 'P' and l.l_linestatus = 'O' then 0 else 1 end as bdp_active_flag
-from {d.t('lineitem')} l
-join {d.t('orders')} o on l.l_orderkey = o.o_orderkey and l.l_linenumber = 1
+from (select l_orderkey, min(l_suppkey) as l_suppkey, max(l_shipdate) as l_shipdate,
+             min(l_returnflag) as l_returnflag, max(l_linestatus) as l_linestatus
+      from {d.t('lineitem')} group by l_orderkey) l
+join {d.t('orders')} o on l.l_orderkey = o.o_orderkey
 join {d.t('customer')} c on o.o_custkey = c.c_custkey
 join {d.t('nation')} nc on c.c_nationkey = nc.n_nationkey
 join {d.t('region')} rc on nc.n_regionkey = rc.r_regionkey
