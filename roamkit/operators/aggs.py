@@ -10,7 +10,7 @@ and small, and the join back is broadcast when its size allows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,7 +125,8 @@ def rank_totals(df: DataFrame, by: Sequence[str], total: str, alias: str) -> Dat
 
 
 def with_totals_and_ranks(df: DataFrame, by: Sequence[str], c: str,
-                          specs: Sequence[tuple[str, str, str | None]], exact: bool = True) -> DataFrame:
+                          specs: Sequence[tuple[str, str, str | None]], exact: bool = True,
+                          stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Several ``sum(c) over (partition by by + key)`` totals, each optionally ranked within ``by``.
 
     ``specs`` holds ``(key, total_alias, rank_alias)``.  Each total is one
@@ -134,6 +135,11 @@ def with_totals_and_ranks(df: DataFrame, by: Sequence[str], c: str,
     total is a function of its key, so ranking keys ranks the distinct totals.
     Every table is joined back to ``df`` itself, so the plan grows linearly
     with the number of totals instead of nesting each step in the next.
+
+    ``stage(df, name) -> DataFrame`` (e.g. ``TableStore.replace``) materialises
+    each per-key table first.  Without statistics, Spark sizes an aggregate
+    like its input, so only a written table has a size that proves it small
+    enough to broadcast; staged, the join back never shuffles ``df``.
     """
     dtype = dict(df.dtypes)[c]
     out = df
@@ -143,6 +149,8 @@ def with_totals_and_ranks(df: DataFrame, by: Sequence[str], c: str,
         if rank is not None:
             small = small.withColumn(rank, F.dense_rank().over(
                 Window.partitionBy(*by).orderBy(F.col(total).asc_nulls_first())))
+        if stage is not None:
+            small = stage(small, f"per_key_{total}")
         out = _rejoin(out, small, keys)
     return out
 

@@ -29,7 +29,10 @@ def estimated_bytes(df: DataFrame) -> int:
     Read from the statistics' text form: the raw number can run to thousands
     of digits for stacked joins, which is no use and does not convert.
     """
-    text = df._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    try:
+        text = df._jdf.queryExecution().optimizedPlan().stats().simpleString()
+    except Exception:  # noqa: BLE001  (no JVM plan to ask, e.g. a remote session): assume large
+        return 1 << 62
     value = text.split("sizeInBytes=", 1)[1].split(",", 1)[0].strip()
     number, _, unit = value.partition(" ")
     try:

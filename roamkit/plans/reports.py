@@ -60,8 +60,13 @@ CAPTURE_TAIL = ("discount_period_id", "period_from", "period_to", "discount_mode
                 "created_date", "last_updated_by", "last_updated_date", "parent_id", "level_number")
 
 
-def steering_performance(t: Tables, cfg: SteeringConfig = SteeringConfig()) -> DataFrame:
-    """Capture-rate performance valued at the rate card: cost delta, 5 totals, 5 ranks."""
+def steering_performance(t: Tables, cfg: SteeringConfig = SteeringConfig(), stage=None) -> DataFrame:
+    """Capture-rate performance valued at the rate card: cost delta, 5 totals, 5 ranks.
+
+    ``stage(df, name) -> DataFrame`` materialises the valued rows and the five
+    per-key total tables (see ``aggs.with_totals_and_ranks``): the rows are then
+    computed once and every total joins back by broadcast of a measured table.
+    """
     crp = t["capture_rate_performance"]
     crp = crp.where((F.col("call_type") != "TOTAL")
                     & (F.col("dst_tadig").isNotNull() | (F.col("dst_tadig") != ""))
@@ -85,8 +90,10 @@ def steering_performance(t: Tables, cfg: SteeringConfig = SteeringConfig()) -> D
         "target_group_name", F.col("country_description").alias("target_country_name"), "target_region_name",
         *CAPTURE_PASSTHROUGH, M.cost_delta().alias("cost_delta"),
         F.coalesce(F.col("curr_out_final_iot"), F.lit(0.0)).alias("iot_rate"), *CAPTURE_TAIL)
+    if stage is not None:
+        df = stage(df, "steering_valued")
     df = A.with_totals_and_ranks(df, ["call_year_month"], "cost_delta",
-                                 [(key, total, rank) for total, key, rank in STEERING_TOTALS])
+                                 [(key, total, rank) for total, key, rank in STEERING_TOTALS], stage=stage)
     df = U.cutover(df, "call_year_month", cfg.cutover_month, "source_tadig", cfg.cutover_excluded)
     return df.select(*STEERING_COLUMNS)
 
