@@ -76,15 +76,19 @@ def _rejoin(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     return out.drop(*[f"__g_{k}" for k in keys])
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order: str,
+           stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Rows holding the greatest ``order`` per key, ties kept (``dense_rank() = 1``).
 
     Written as max-per-key + join back: the max is a partial aggregate (a hot
     key is combined map-side) and the join back does not sort whole groups.
     A key whose ``order`` is NULL on every row keeps those rows, as the rank
-    form does (descending order puts NULLs last).
+    form does (descending order puts NULLs last).  ``stage`` materialises the
+    per-key table first, so its measured size can prove it broadcastable.
     """
     top = df.groupBy(*keys).agg(F.max(order).alias("__top"))
+    if stage is not None:
+        top = stage(top, "per_key_latest")
     out = _rejoin(df, top, keys)
     return out.where(F.col(order).eqNullSafe(F.col("__top"))).drop("__top")
 
@@ -95,20 +99,25 @@ def dense_rank_desc(df: DataFrame, keys: Sequence[str], order: str, alias: str =
 
 
 # W02 / W04 ---------------------------------------------------------------------------
-def with_partition_aggs(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+def with_partition_aggs(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column],
+                        stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``agg(...) over (partition by keys)`` for whole-partition frames.
 
     Aggregated per key (partial, skew-tolerant) and joined back on null-safe
-    keys; the per-key table is broadcast when small enough.
+    keys; the per-key table is broadcast when its size is known to be small
+    (``stage`` materialises it so that its size is measured, not estimated).
     """
     small = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    if stage is not None:
+        small = stage(small, "per_key_aggs")
     return _rejoin(df, small, keys)
 
 
-def with_total(df: DataFrame, keys: Sequence[str], c: str, alias: str, exact: bool = True) -> DataFrame:
+def with_total(df: DataFrame, keys: Sequence[str], c: str, alias: str, exact: bool = True,
+               stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``sum(c) over (partition by keys)``."""
     dtype = dict(df.dtypes)[c]
-    return with_partition_aggs(df, keys, {alias: _sum(c, dtype, exact)})
+    return with_partition_aggs(df, keys, {alias: _sum(c, dtype, exact)}, stage)
 
 
 # W03 ---------------------------------------------------------------------------------

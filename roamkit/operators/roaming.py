@@ -265,8 +265,11 @@ def latest_names(inbound: DataFrame, outbound: DataFrame) -> DataFrame:
                            F.col("their_country_name").alias("syn_country"), F.col("call_date"))
         return df.select(F.explode(F.array(home, partner)).alias("r")).select("r.*")
 
-    both = roles(inbound).unionByName(roles(outbound))
-    return A.latest(both, ["tadig"], "call_date").distinct()
+    # The result is distinct, so distinct first: a partial aggregate that shrinks
+    # usage rows to (code, name, country, day) before anything is shuffled or
+    # joined back; the latest-day step then works on that small table.
+    both = roles(inbound).unionByName(roles(outbound)).distinct()
+    return A.latest(both, ["tadig"], "call_date")
 
 
 # M16 / M17 / M18 ---------------------------------------------------------------------

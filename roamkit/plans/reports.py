@@ -319,8 +319,10 @@ def contract_register(t: Tables) -> DataFrame:
 def traffic_deviation(t: Tables, cfg: DeviationConfig = DeviationConfig()) -> DataFrame:
     """Daily traffic of the last months per pair and class, tap rate and unique roamers."""
     def recent(df: DataFrame) -> DataFrame:
-        floor = M.month_floor(df)
-        df = J.with_scalar(df, floor).where(F.col("call_date") >= F.col("max_call_date")).drop("max_call_date")
+        # One scalar, read first: as a literal the bound reaches the Parquet scan
+        # and date-sorted files outside the last months are skipped.
+        floor = M.month_floor(df).first()["max_call_date"]
+        df = df.where(F.col("call_date") >= F.lit(floor))
         df = P.filter_in(df, "call_type", cfg.call_types)
         df = df.withColumn("subscriber_type", M.subscriber_class(cfg))
         return df.withColumn("my_pmn_tadig_code", M.split_code(cfg))

@@ -99,3 +99,14 @@ def test_latest_or_default_and_top1(spark):
     assert rows(U.latest_or_default(runs, "ex", default)) == [("r2", "2024-01-03")]
     assert rows(U.latest_or_default(runs.where("false"), "ex", default)) == [("first", None)]
     assert rows(U.latest_row(runs, "ex")) == [("r2", "2024-01-03")]
+
+
+def test_staged_join_backs_equal_unstaged(spark, tmp_path):
+    from roamkit.sources.tables import TableStore
+    st = TableStore(spark, str(tmp_path / "stage"))
+    df = spark.createDataFrame(_random_rows(seed=11), SCHEMA)
+    assert rows(A.latest(df, ["k"], "d", stage=st.replace)) == rows(A.latest(df, ["k"], "d"))
+    assert rows(A.with_total(df, ["m", "k"], "v", "t", stage=st.replace)) == rows(A.with_total(df, ["m", "k"], "v", "t"))
+    a = A.with_totals_and_ranks(df, ["m"], "v", [("k", "t", "r")], stage=st.replace)
+    b = A.with_totals_and_ranks(df, ["m"], "v", [("k", "t", "r")])
+    assert rows(a) == rows(b)
