@@ -42,3 +42,24 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in cur.description]
     assert sorted(c.lower() for c in df.columns) == sorted(c.lower() for c in cols)
     assert got == compare.canon(cols, cur.fetchall())
+
+
+def test_ledger_rerun_only_readds_null_keys(spark):
+    """A second run on the same data re-adds only rows whose call_date_30 is NULL."""
+    import dataclasses
+
+    from pyspark.sql import functions as F
+
+    from roamkit.plans import catalog, reports
+    from roamkit.sources.binding import inputs
+    t = inputs(spark, SF)
+    cfg = dataclasses.replace(catalog.ALERT, charge_threshold=0.0, volume_threshold=0.0)
+    run = reports.price_alert(t, None, cfg, catalog.AS_OF)
+    first = spark.createDataFrame(run.collect(), run.schema)  # the previous ledger, as a fixed table
+    second = reports.price_alert(t, first, cfg, catalog.AS_OF)
+    fresh = second.where(F.col("latest_flag") == "1")
+    assert first.count() > 0
+    assert fresh.where(F.col("call_date_30").isNotNull()).count() == 0
+    assert fresh.count() == first.where(F.col("call_date_30").isNull()).count()
+    strict = reports.price_alert(t, first, dataclasses.replace(cfg, null_safe=True), catalog.AS_OF)
+    assert strict.where(F.col("latest_flag") == "1").count() == 0
