@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -146,10 +146,6 @@ def yyyymm(d: ColumnOrName) -> Column:
     return (F.year(d) * 100 + F.month(d)).cast("bigint")
 
 
-def yyyymm_text(d: ColumnOrName) -> Column:
-    return F.date_format(col(d), "yyyyMM")
-
-
 # F20 / F21 / F22 / F23 / F24 -------------------------------------------------
 def cast(c: ColumnOrName, to: str) -> Column:
     return col(c).cast(to)
@@ -183,8 +179,3 @@ def exact_sum(c: ColumnOrName, scale: int = 6) -> Column:
 def is_true(c: ColumnOrName) -> Column:
     """NULL-safe boolean test."""
     return F.coalesce(col(c), F.lit(False))
-
-
-def not_in_list(c: ColumnOrName, values: Iterable[object]) -> Column:
-    """SQL ``NOT IN (constants)``: a NULL value never passes."""
-    return ~col(c).isin(list(values))

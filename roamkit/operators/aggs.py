@@ -93,11 +93,6 @@ def latest(df: DataFrame, keys: Sequence[str], order: str,
     return out.where(F.col(order).eqNullSafe(F.col("__top"))).drop("__top")
 
 
-def dense_rank_desc(df: DataFrame, keys: Sequence[str], order: str, alias: str = "rnk") -> DataFrame:
-    """``dense_rank() over (partition by keys order by order desc)`` as a column."""
-    return df.withColumn(alias, F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(order).desc())))
-
-
 # W02 / W04 ---------------------------------------------------------------------------
 def with_partition_aggs(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column],
                         stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
