@@ -85,11 +85,11 @@ def build_reports(tables: Mapping[str, DataFrame], store: TableStore, settings:
         if rid in wanted:
             put(rid, build())
     if "c11" in wanted:
-        ledger("c11", lambda prev: C.price_alert(tables, prev, s.alert, as_of))
+        ledger("c11", lambda prev: C.price_alert(tables, prev, s.alert, as_of, stage=store.replace))
     if "c12" in wanted:
-        ledger("c12", lambda prev: C.rolling_alert(tables, prev, s.alert, as_of, "inbound"))
+        ledger("c12", lambda prev: C.rolling_alert(tables, prev, s.alert, as_of, "inbound", store.replace))
     if "c13" in wanted:
-        ledger("c13", lambda prev: C.rolling_alert(tables, prev, s.alert, as_of, "outbound"))
+        ledger("c13", lambda prev: C.rolling_alert(tables, prev, s.alert, as_of, "outbound", store.replace))
     return out
 
 

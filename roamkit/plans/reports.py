@@ -355,10 +355,17 @@ ROLLING_ALERT_COLUMNS = ("call_date", "my_pmn_tadig_code", "their_pmn_tadig_code
                          "total_charges_eur", "rolling_avg")
 
 
-def price_changes(usage: DataFrame, fx: DataFrame, cfg: AlertConfig, as_of) -> DataFrame:
-    """Shared alert stages: daily sums, EUR conversion, month-on-month change."""
+def price_changes(usage: DataFrame, fx: DataFrame, cfg: AlertConfig, as_of, stage=None) -> DataFrame:
+    """Shared alert stages: daily sums, EUR conversion, month-on-month change.
+
+    Both sides of the month-on-month join come from the same daily table
+    (days x pairs rows).  ``stage(df, name) -> DataFrame`` writes it once, so
+    the usage table is scanned once per run instead of once per side.
+    """
     base = M.alert_base(usage, cfg, as_of)
     eur = M.to_currency(base, fx, cfg.currency)
+    if stage is not None:
+        eur = stage(eur, "alert_daily_eur")
     return M.price_change(eur, report_from=F.date_sub(S.as_of_date(as_of), cfg.report_days))
 
 
@@ -368,9 +375,9 @@ def empty_ledger(spark, columns: tuple[str, ...], like: DataFrame) -> DataFrame:
 
 
 def price_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertConfig(), as_of=None,
-                usage: str = "inbound_usage") -> DataFrame:
+                usage: str = "inbound_usage", stage=None) -> DataFrame:
     """Month-on-month price alert ledger: new alerts '1' plus the previous ledger '0'."""
-    chg = price_changes(t[usage], t["fx_rates"], cfg, as_of)
+    chg = price_changes(t[usage], t["fx_rates"], cfg, as_of, stage)
     alerts = P.alert_filter(chg, cfg.pct_threshold, cfg.unit_price_threshold, cfg.charge_threshold,
                             cfg.volume_threshold).select(*PRICE_ALERT_COLUMNS)
     if prev is None:
@@ -380,10 +387,10 @@ def price_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertConfi
 
 
 def rolling_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertConfig(), as_of=None,
-                  direction: str = "inbound") -> DataFrame:
+                  direction: str = "inbound", stage=None) -> DataFrame:
     """7-row rolling-average alert ledger for inbound or outbound usage."""
     usage = t["inbound_usage" if direction == "inbound" else "outbound_usage"]
-    chg = price_changes(usage, t["fx_rates"], cfg, as_of)
+    chg = price_changes(usage, t["fx_rates"], cfg, as_of, stage)
     keys = ["my_pmn_tadig_code", "their_pmn_tadig_code"]
     rolled = A.rolling_avg(chg, keys, "call_date", "total_charges_eur", "rolling_avg", cfg.rolling_rows - 1)
     alerts = rolled.where(F.col("rolling_avg") > cfg.rolling_threshold)
