@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from roamkit.config import Settings
 from roamkit.plans import reports as C
+from roamkit.operators.joins import estimated_bytes
+from roamkit.session import size_shuffles
 from roamkit.sources.tables import TableStore
 
 # Output table and the inputs each build reads.
@@ -110,7 +112,9 @@ def main(argv: list[str] | None = None) -> None:
     with open(args.tables) as fh:
         locations = json.load(fh)
     only = set(args.only.split(",")) if args.only else None
-    built = build_reports(read_inputs(spark, locations), TableStore(spark, args.out), Settings(), args.as_of, only)
+    tables = read_inputs(spark, locations)
+    size_shuffles(spark, sum(estimated_bytes(df) for df in tables.values()))
+    built = build_reports(tables, TableStore(spark, args.out), Settings(), args.as_of, only)
     for rid, df in sorted(built.items()):
         print(rid, REPORT_INPUTS[rid][0], df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else "")
 

@@ -51,3 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="roamkit-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
+                  floor: int = 200, ceiling: int = 100_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` for the data at hand and return it.
+
+    About one partition per ``target_bytes`` of input, so a partition fits in an
+    executor's memory without spilling; AQE coalesces the ones that come out
+    small.  The bounds keep tiny runs from over-splitting and huge ones from
+    creating more tasks than the scheduler handles well.
+    """
+    n = max(floor, min(ceiling, -(-input_bytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -102,3 +102,14 @@ def test_read_partition_prunes(spark, tmp_path):
     df = read_partition(spark.read.parquet(path), "p", D(2024, 1, 2))
     assert rows(df) == [("a", D(2024, 1, 2))]
     assert "PartitionFilters: [isnotnull(p" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_size_shuffles(spark):
+    from roamkit.session import size_shuffles
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10 << 40) == 40960  # 10 TiB / 256 MiB
+        assert size_shuffles(spark, 1 << 20) == 200
+        assert size_shuffles(spark, 1 << 60) == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
