@@ -131,11 +131,17 @@ def as_valid_join(fact: DataFrame, windows: DataFrame, date_col: str, start: str
     month it touches and the join is an equi-join on the month bucket plus the
     range test.  Each fact date falls in exactly one bucket, so overlapping
     windows fan out exactly as the range join does, and no window is repeated.
+    Windows are first clipped to the facts' own date range (one min/max row),
+    so an open-ended window (``end = 9999-12-31``) lists only the months that
+    facts can fall in.
     """
-    months = F.sequence(F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month"))
-    w = (windows.where(F.col(start) <= F.col(end))
-         .select(F.explode(months).alias("__bucket"), F.col(start).alias("__vw_start"), F.col(end).alias("__vw_end"),
-                 *[F.col(c).alias(o) for o, c in columns.items()]))
+    bounds = fact.agg(F.min(date_col).alias("__lo"), F.max(date_col).alias("__hi"))
+    w = with_scalar(windows.where(F.col(start) <= F.col(end)), bounds) \
+        .where((F.col(end) >= F.col("__lo")) & (F.col(start) <= F.col("__hi")))
+    months = F.sequence(F.trunc(F.greatest(F.col(start), F.col("__lo")), "month"),
+                        F.trunc(F.least(F.col(end), F.col("__hi")), "month"), F.expr("interval 1 month"))
+    w = w.select(F.explode(months).alias("__bucket"), F.col(start).alias("__vw_start"), F.col(end).alias("__vw_end"),
+                 *[F.col(c).alias(o) for o, c in columns.items()])
     w = bounded_broadcast(w)
     f = fact.withColumn("__fbucket", F.trunc(F.col(date_col), "month"))
     cond = (f["__fbucket"] == w["__bucket"]) & (f[date_col] >= w["__vw_start"]) & (f[date_col] <= w["__vw_end"])

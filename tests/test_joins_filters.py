@@ -110,3 +110,13 @@ def test_with_scalar_attaches_one_row(spark):
     df = spark.createDataFrame([(1,), (2,)], "x int")
     top = df.agg(F.max("x").alias("m"))
     assert rows(J.with_scalar(df, top)) == [(1, 2), (2, 2)]
+
+
+def test_range_join_open_ended_window_is_clipped(spark):
+    facts = spark.createDataFrame([(1, D(2024, 3, 5)), (2, D(2020, 1, 1)), (3, None)], "id int, d date")
+    wins = spark.createDataFrame([("open", D(2021, 1, 1), D(9999, 12, 31)), ("old", D(2019, 12, 1), D(2020, 1, 31))],
+                                 "w string, s date, e date")
+    assert rows(J.as_valid_join(facts, wins, "d", "s", "e", {"w": "w"}), "id", "w") == [
+        (1, "open"), (2, "old"), (3, None)]
+    empty = facts.where("false")
+    assert J.as_valid_join(empty, wins, "d", "s", "e", {"w": "w"}).count() == 0
