@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roamkit.config import Settings
 from roamkit.plans import reports as C
 from roamkit.operators.joins import estimated_bytes
-from roamkit.session import size_shuffles
+from roamkit.session import apply_scale_conf, size_shuffles
 from roamkit.sources.tables import TableStore
 
 # Output table and the inputs each build reads.
@@ -109,6 +109,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--only", default=None, help="comma-separated report ids, e.g. c05,c11")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("roamkit-daily").getOrCreate()
+    apply_scale_conf(spark)
     with open(args.tables) as fh:
         locations = json.load(fh)
     only = set(args.only.split(",")) if args.only else None

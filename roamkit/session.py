@@ -36,6 +36,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def apply_scale_conf(spark: SparkSession) -> None:
+    """Apply the run-time SQL settings of ``SCALE_CONF`` to an existing session."""
+    for k, v in SCALE_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -48,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return str(jdir.get()).rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share (e.g. on the cluster's "
+                           "distributed file system); a machine-local folder is only used in local mode")
     path = tempfile.mkdtemp(prefix="roamkit-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return str(spark.sparkContext._jsc.sc().getCheckpointDir().get()).rstrip("/")
