@@ -545,6 +545,13 @@ _lock = threading.Lock()
 _memo: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
+def input_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Where ``inputs`` keeps each derived table (materialising them if needed)."""
+    inputs(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/roamkit_inputs/{_fingerprint(sf_dir)}"
+    return {name: f"{root}/{name}" for name in closure(BINDING)}
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in RAW_TABLES}
 

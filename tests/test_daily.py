@@ -16,8 +16,9 @@ def test_build_reports_twice_with_ledger_snapshots(spark, tmp_path):
 
     t = inputs(spark, SF)
     # Through the command-line path: a JSON map of input names to Parquet folders.
-    locations = {n: df.inputFiles()[0].rsplit("/", 1)[0] for n, df in t.items()
-                 if n in {i for _, ins in daily.REPORT_INPUTS.values() for i in ins}}
+    from roamkit.sources.binding import input_paths
+    needed = {i for _, ins in daily.REPORT_INPUTS.values() for i in ins} | {"crm_account", "operator", "country"}
+    locations = {n: p for n, p in input_paths(spark, SF).items() if n in needed}
     spec = tmp_path / "tables.json"
     spec.write_text(json.dumps(locations))
     tables = daily.read_inputs(spark, json.loads(spec.read_text()))
