@@ -196,9 +196,12 @@ def service_openings_extended(t: Tables, steering: DataFrame, openings: DataFram
 
 
 # C05 / C06 ---------------------------------------------------------------------------
-def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: str) -> DataFrame:
+def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: str,
+            dates: DataFrame | None = None) -> DataFrame:
+    """``dates``: a table with the same call dates as ``usage`` to take the latest
+    settled date from (the raw rows of an aggregate: one column, no aggregation)."""
     biz = t["code_business"]
-    max_d = A.global_max(usage, "call_date", "__max_date",
+    max_d = A.global_max(usage if dates is None else dates, "call_date", "__max_date",
                          where=F.col("call_date") < F.date_sub(S.as_of_date(as_of), cfg.settle_days))
     df = P.settled(P.since(usage, "call_date", cfg.history_floor), "call_date", as_of, cfg.settle_days)
     df = J.lookup(df, biz, {"my_pmn_tadig_code": "tadig"},
@@ -247,12 +250,14 @@ def inbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date
 def outbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date | str | None = None) -> DataFrame:
     """Outbound usage summed, classified and valued (cost), spliced onto frozen history."""
     agg = A.group_sum(t["outbound_usage"], OUTBOUND_KEYS, OUTBOUND_MEASURES)
-    live = _valued(agg, t, cfg, as_of, "outbound").select(*OUTBOUND_COLUMNS)
+    live = _valued(agg, t, cfg, as_of, "outbound", dates=t["outbound_usage"]).select(*OUTBOUND_COLUMNS)
     hist = t["outbound_history"].withColumn("iot_call_year_month", F.col("iot_call_year_month").cast("bigint"))
     code = F.col("my_pmn_tadig_code")
-    out = U.union_all(hist.select(*OUTBOUND_COLUMNS),
-                      live.where(code != cfg.frozen_code),
-                      live.where((F.col("call_date") > F.lit(cfg.frozen_until)) & (code == cfg.frozen_code)))
+    # The two live branches (other codes; the frozen code after its history
+    # ends) are disjoint and both drop NULL codes, so one predicate selects the
+    # same rows and the live rows are built once instead of once per branch.
+    keep = (code != cfg.frozen_code) | ((F.col("call_date") > F.lit(cfg.frozen_until)) & (code == cfg.frozen_code))
+    out = U.splice(hist.select(*OUTBOUND_COLUMNS), live, keep)
     return J.lookup(out, t["code_business"], {"their_pmn_tadig_code": "tadig"}, {"region": "region"})
 
 
