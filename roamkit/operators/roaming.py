@@ -250,7 +250,7 @@ def cost_delta(traffic: str = "country_traffic", rate: str = "curr_out_final_iot
 
 
 # M15 ---------------------------------------------------------------------------
-def latest_names(inbound: DataFrame, outbound: DataFrame) -> DataFrame:
+def latest_names(inbound: DataFrame, outbound: DataFrame, stage=None) -> DataFrame:
     """Latest operator and country name per code, over both usage tables and both roles.
 
     One scan per table: each row yields its home and partner (code, name,
@@ -269,6 +269,8 @@ def latest_names(inbound: DataFrame, outbound: DataFrame) -> DataFrame:
     # usage rows to (code, name, country, day) before anything is shuffled or
     # joined back; the latest-day step then works on that small table.
     both = roles(inbound).unionByName(roles(outbound)).distinct()
+    if stage is not None:  # written once, so each usage table is scanned once
+        both = stage(both, "name_days")
     return A.latest(both, ["tadig"], "call_date")
 
 

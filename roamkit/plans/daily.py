@@ -68,7 +68,7 @@ def build_reports(tables: Mapping[str, DataFrame], store: TableStore, settings:
 
     s = settings
     if "c01" in wanted:
-        put("c01", C.tadig_reference(tables))
+        put("c01", C.tadig_reference(tables, stage=store.replace))
     if "c02" in wanted:
         put("c02", C.steering_performance(tables, s.steering, stage=store.replace))
     if "c03" in wanted:

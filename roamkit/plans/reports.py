@@ -28,9 +28,13 @@ Tables = Mapping[str, DataFrame]
 
 
 # C01 -------------------------------------------------------------------------------
-def tadig_reference(t: Tables) -> DataFrame:
-    """One row per code and name variant from usage, billing and CRM sources."""
-    syn = M.latest_names(t["inbound_usage"], t["outbound_usage"])
+def tadig_reference(t: Tables, stage=None) -> DataFrame:
+    """One row per code and name variant from usage, billing and CRM sources.
+
+    ``stage(df, name) -> DataFrame`` writes the small (code, name, country, day)
+    table once; without it Spark re-reads the usage tables for every use.
+    """
+    syn = M.latest_names(t["inbound_usage"], t["outbound_usage"], stage)
     crm = P.active(t["crm_account"])
     master = U.union_distinct(t["operator"].select(F.col("tap_code").alias("tadig")),
                               syn.select("tadig"),
