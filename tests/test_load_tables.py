@@ -113,3 +113,24 @@ def test_size_shuffles(spark):
         assert size_shuffles(spark, 1 << 60) == 100_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_checkpoint_dir_rules():
+    from types import SimpleNamespace
+
+    from roamkit.session import checkpoint_dir
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == "spark.checkpoint.dir" else default
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    jsc = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset))
+    configured = SimpleNamespace(conf=Conf("hdfs://shared/ckpt/"), sparkContext=None)
+    assert checkpoint_dir(configured) == "hdfs://shared/ckpt"
+    cluster = SimpleNamespace(conf=Conf(None), sparkContext=SimpleNamespace(_jsc=jsc, master="yarn"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(cluster)
