@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,9 @@ from pyspark.sql import functions as F
 
 from roamkit.session import checkpoint_dir
 
+#: The Spark application that has this package already.
+SHIPPED: dict[str, str] = {}
+
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder of the cluster (see ``checkpoint_dir``)."""
@@ -47,3 +53,16 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def documents_of(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def python_tasks(spark: SparkSession, rows: int = 500) -> None:
+    """Prepare Python workers: they can import this package, and get texts a few hundred at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    here = Path(__file__).resolve().parents[1]
+    if SHIPPED.get("app") != spark.sparkContext.applicationId:
+        package = Path(tempfile.mkdtemp()) / f"{here.name}.zip"  # Spark copies it to the executors
+        with zipfile.ZipFile(package, "w") as z:
+            for p in sorted(here.rglob("*.py")):
+                z.write(p, p.relative_to(here.parent))
+        spark.sparkContext.addPyFile(str(package))
+        SHIPPED["app"] = spark.sparkContext.applicationId
