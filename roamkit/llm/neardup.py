@@ -7,16 +7,17 @@ registers; arrivals later than every register's present minimum cannot change th
 signature, so a shingle stops there (early termination).  Two registers agree with
 the probability Jaccard of the documents.
 
-Bands of the signature give buckets.  Round one verifies, for every document, the
-pair with one fixed member of its buckets, which settles large groups with one pair a
-member.  Round two takes the buckets whose members are still in different classes and
-verifies the pairs across classes; so no candidate pair between two classes is left
-out, and pairs within a class are never made.  A pair is linked when its exact
+Bands of the signature give buckets.  Each of ``ROUNDS`` rounds takes the buckets whose
+members are in several classes, names one member of the largest class leader, and verifies
+every other document against the one of its buckets' leaders that it agrees with best; so
+a large group is settled with a few pairs a member.  A last pass verifies what is left of
+the pairs across classes, so that no candidate pair between two classes is left out;
+pairs within a class are never made.  A pair is linked when its exact
 probability Jaccard, or the plain Jaccard of its distinct shingles, is ``SIMILARITY``
 or more.  Classes are the connected components of the links.
 
 Odds: at similarity 0.8 all ``BANDS`` bands miss with probability 3e-6, and fewer than
-``MIN_AGREE`` of 96 one-byte registers agree with probability below 1e-9.
+``MIN_AGREE`` of 96 one-byte registers agree with probability of about 1e-5.
 
 Defined cases: NULL text counts as empty; equal texts (empty ones too) are one class;
 texts of fewer than five words are one shingle; a text without words has links to equal
@@ -40,7 +41,7 @@ from roamkit.llm.shared import python_tasks, stage
 WORDS, SIMILARITY = 5, 0.8
 REGISTERS, ROWS = 96, 4
 BANDS = REGISTERS // ROWS
-MIN_AGREE = 48
+MIN_AGREE, ROUNDS = 58, 4
 LONGS = REGISTERS // 8
 _U = np.uint64
 
@@ -189,31 +190,45 @@ def components(ids: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return label
 
 
-def classes(signed: DataFrame, texts: DataFrame, chosen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The classes after round two (of the classes after round one) and those after round one.
+def classes(signed: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, class) of every signed document that shares a bucket.
 
     ``signed`` is a written table of one row an id (see ``SIGNED``); ``texts`` and ``chosen`` as in ``verified``.
     """
     buckets = signed.select("id", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").select("bucket", "leader")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     buckets = stage(buckets.join(shared, "bucket"), "buckets")
     sig = signed.drop("bands")
-    star = buckets.where("id <> leader").groupBy("id").agg(F.min("leader").alias("leader"))
-    near = star.alias("m").join(sig.alias("a"), F.col("m.id") == F.col("a.id")).join(sig.alias("b"), F.col("m.leader") == F.col("b.id"))
-    first = verified(near.where(_agree("a", "b") >= MIN_AGREE).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")), texts, chosen)
-    member = stage(buckets.select("id").distinct(), "members")
-    label = components(member, first, "round-1")
-    # round two: buckets whose members are still in different classes
-    inside = buckets.join(label, "id").groupBy("bucket", "class").agg(F.count("*").alias("n"))
-    torn = inside.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "class")).alias("top")).where("classes > 1")
-    torn = stage(torn.select("bucket", F.col("top.class").alias("major")), "torn")
-    across = stage(buckets.select("bucket", "id").join(torn, "bucket").join(label, "id").join(sig, "id"), "across")
+    label = stage(buckets.select("id").distinct().withColumn("class", F.col("id")), "members")
+    agreeing = lambda pairs: pairs.alias("p").join(sig.alias("a"), F.col("p.a") == F.col("a.id")).join(sig.alias("b"), F.col("p.b") == F.col("b.id")).withColumn("agree", _agree("a", "b")).where(F.col("agree") >= MIN_AGREE)
+    for turn in range(ROUNDS):
+        torn = torn_buckets(buckets, label, turn)
+        beside = buckets.join(label, "id").join(torn, "bucket").where("class <> major")
+        pairs = agreeing(beside.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+        nearest = pairs.groupBy(F.col("p.a").alias("a")).agg(F.max_by("p.b", F.struct("agree", "p.b")).alias("b"))
+        label = merged(label, verified(nearest, texts, chosen), f"round-{turn}")
+    torn = torn_buckets(buckets, label, ROUNDS)
+    across = stage(buckets.join(torn.select("bucket", "major"), "bucket").join(label, "id").join(sig, "id"), "across")
     # from each member outside the bucket's largest class to the members of every other class, once
     minor = across.where("class <> major").alias("a")
     other = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class") != F.col("b.class")) & ((F.col("b.class") == F.col("b.major")) | (F.col("a.id") < F.col("b.id")))
     found = minor.join(across.alias("b"), other & (_agree("a", "b") >= MIN_AGREE))
-    second = verified(found.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), texts, chosen)
-    return components(label.select(F.col("class").alias("id")).distinct(), classes_of(second, label), "round-2"), label
+    rest = verified(found.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), texts, chosen)
+    return merged(label, rest, "rest")
+
+
+def torn_buckets(buckets: DataFrame, label: DataFrame, turn: int) -> DataFrame:
+    """Buckets with members of several classes: the largest class and one member of it, another each turn."""
+    some = F.max(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("some")
+    inside = buckets.join(label, "id").groupBy("bucket", "class").agg(F.count("*").alias("n"), some)
+    torn = inside.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "class", "some")).alias("top")).where("classes > 1")
+    return stage(torn.select("bucket", F.col("top.class").alias("major"), F.col("top.some.id").alias("leader")), f"torn-{turn}")
+
+
+def merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """``label`` after uniting the classes that ``links`` connect."""
+    united = components(label.select(F.col("class").alias("id")).distinct(), classes_of(links, label), name)
+    return stage(label.join(united.select(F.col("id").alias("class"), F.col("class").alias("to")), "class").select("id", F.col("to").alias("class")), f"{name}-merged")
 
 
 def classes_of(links: DataFrame, label: DataFrame) -> DataFrame:
@@ -232,8 +247,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # signed without a join, so that no text is shuffled; of equal texts one signature stays
     signed = rows.select(F.col("doc_id").alias("id"), digest, word_hashes(F.col("text")).alias("words")).mapInPandas(_sign, SIGNED)
     signed = stage(signed.join(chosen, ["id", "digest"], "left_semi").drop("digest").dropDuplicates(["id"]), "signed")
-    merged, label = classes(signed, rows.select(F.col("doc_id").alias("id"), digest, "text"), chosen)
-    final = label.join(merged.select(F.col("id").alias("class"), F.col("class").alias("to")), "class").select("id", F.col("to").alias("class_id"))
+    label = classes(signed, rows.select(F.col("doc_id").alias("id"), digest, "text"), chosen)
+    final = label.select("id", F.col("class").alias("class_id"))
     same = keyed.join(chosen, "digest").select("doc_id", "id")
     none = rows.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id")).limit(1)
     return same.join(final, "id", "left").select("doc_id", F.coalesce("class_id", "id").alias("class_id")).union(none)
