@@ -118,7 +118,9 @@ def pack(cut: DataFrame, room: int = ROOM) -> DataFrame:
 def sequences(cut: DataFrame, packed: DataFrame) -> DataFrame:
     """The operator's own output: the ids of each packed sequence, in place order."""
     keys = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    rows = packed.join(cut.select(*keys, "ids").dropDuplicates(keys), keys)
+    given = cut.select(*keys, "ids").dropDuplicates(keys).select(*[F.col(k).alias(f"_{k}") for k in keys], "ids")
+    same = [packed[k].eqNullSafe(given[f"_{k}"]) for k in keys]  # a piece may have no doc_id
+    rows = packed.join(given, same)
     ordered = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return rows.groupBy("sequence_id").agg(ordered.alias("parts")).select("sequence_id", F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, p["ids"])).alias("ids"))
 
