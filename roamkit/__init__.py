@@ -7,7 +7,6 @@ operators/  DataFrame -> DataFrame building blocks (filters, joins, aggregates,
             windows, set operations, the roaming business operators)
 sources/    table reads, versioned writes, ledgers, the test-table binding
 plans/      end-to-end report builds, staged-load checks, the query catalog
-streaming/  nothing: every workload here is batch (see its docstring)
 """
 
 __all__ = ["config", "session"]

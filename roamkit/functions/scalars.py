@@ -81,7 +81,7 @@ def initcap(c: ColumnOrName) -> Column:
     """
     c = col(c)
     runs = F.regexp_extract_all(F.lower(c), F.lit(_WORD_RUNS), 1)
-    cap = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30)))
+    cap = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2))))
     # Plain ASCII words separated by spaces: Spark's initcap gives the same text, cheaper.
     return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).when(c.isNotNull(), F.array_join(cap, ""))
 

@@ -19,11 +19,19 @@ from roamkit.functions.scalars import col
 from roamkit.operators.joins import bounded_broadcast
 
 
+def _parts(x: Column) -> tuple[Column, Column]:
+    """A floating value as its first six decimals, which add exactly, and the rest as a double.
+
+    Values of 1e15 and more have no such decimals and stay in the rest whole.
+    """
+    head = F.when(F.abs(x) < 1e15, x.cast("decimal(38,6)"))
+    return head, x - F.coalesce(head.cast("double"), F.lit(0.0))
+
+
 def _sum(c: str, dtype: str, exact: bool) -> Column:
     if dtype in ("float", "double") and exact:
-        return F.sum(F.col(c).cast("decimal(38,6)")).cast("double")
-    if dtype.startswith("decimal") and exact:
-        return F.sum(F.col(c)).cast("double")
+        head, rest = _parts(F.col(c))
+        return F.coalesce(F.sum(head).cast("double"), F.lit(0.0)) + F.sum(rest)
     if dtype in ("int", "smallint", "tinyint"):
         return F.sum(F.col(c)).cast("bigint")
     return F.sum(F.col(c))
@@ -34,8 +42,9 @@ def group_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str] | Mapp
               exact: bool = True) -> DataFrame:
     """Several sums by several keys.
 
-    ``exact`` sums floating measures as decimal(38,6) and returns doubles, so
-    totals do not depend on how rows were partitioned or ordered.
+    ``exact`` adds the first six decimals of floating measures as decimals and the
+    rest as doubles: nothing is cut off, and totals do not depend on how rows were
+    partitioned or ordered.  Decimal measures give decimal sums.
     """
     measures = dict(measures) if isinstance(measures, Mapping) else {m: m for m in measures}
     types = dict(df.dtypes)
@@ -165,11 +174,12 @@ def rolling_avg(df: DataFrame, keys: Sequence[str], order: str, c: str, alias: s
     """``avg(c) over (partition by keys order by order rows between n preceding and current row)``.
 
     A row frame, not a date range: gaps stretch it.  ``exact`` adds the frame as
-    decimal and divides by its non-NULL count, so the mean does not depend on
+    in ``group_sum`` and divides by its non-NULL count, so the mean does not depend on
     summation order.  Input is expected to be one row per key and day already.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(order)).rowsBetween(-preceding, 0)
     if not exact:
         return df.withColumn(alias, F.avg(c).over(w))
-    s = F.sum(F.col(c).cast("decimal(38,6)")).over(w).cast("double")
+    head, rest = _parts(F.col(c).cast("double"))
+    s = F.coalesce(F.sum(head).over(w).cast("double"), F.lit(0.0)) + F.sum(rest).over(w)
     return df.withColumn(alias, F.try_divide(s, F.count(F.col(c)).over(w).cast("double")))

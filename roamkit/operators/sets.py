@@ -67,10 +67,10 @@ def literal_row(spark, **values) -> DataFrame:
     return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
 
 
-def latest_or_default(df: DataFrame, order: str, default: DataFrame) -> DataFrame:
-    """The latest row by ``order``; when ``df`` is empty, the ``default`` row."""
+def latest_or_default(df: DataFrame, order: str, default: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """The latest row by ``order``; when ``given`` (``df`` itself if None) is empty, the ``default`` row."""
     top = latest_row(df, order)
-    n = df.agg(F.count(F.lit(1)).alias("__n"))
+    n = (df if given is None else given).agg(F.count(F.lit(1)).alias("__n"))
     fallback = with_scalar(default, n).where(F.col("__n") == 0).drop("__n")
     return top.unionByName(fallback)
 

@@ -26,12 +26,14 @@ def next_partition(landing: DataFrame, audit: DataFrame, cfg: LoadConfig = LoadC
 
     The audit test is ``NOT IN (SELECT PARTITION_VAL ... WHERE source = s)`` per
     source, so a NULL PARTITION_VAL for a source hides all of that source's
-    partitions.  Sources with nothing new get the sentinel date.  A configured
-    date (manual run) replaces discovery for the configured sources.
+    partitions.  Sources with nothing new get the sentinel date, also configured
+    ones without any landing row.  A configured date (manual run) replaces
+    discovery for the configured sources.
     """
-    sources = landing.select(F.col(SOURCE).alias("source")).distinct()
     if cfg.sources:
-        sources = sources.where(F.col("source").isin(list(cfg.sources)))
+        sources = landing.sparkSession.createDataFrame([(s,) for s in dict.fromkeys(cfg.sources)], "source string")
+    else:
+        sources = landing.select(F.col(SOURCE).alias("source")).distinct()
     if cfg.date is not None:
         return sources.select("source", F.lit(cfg.date).alias("partition_value"))
     land = landing.select(F.col(SOURCE).alias("source"), S.date_text(PARTITION).alias("d")).distinct()
@@ -128,9 +130,14 @@ def previous_run_gate(runs: DataFrame) -> DataFrame:
     Latest earlier run in state running / failed / success: running or failed
     blocks (poll 0), success lets it start (poll 1), with a message naming that
     run.  No earlier run at all: poll 1, first run.  Earlier runs only in other
-    states: no row.  The frame is the runs of one flow, bounded by its schedule.
+    states: no row.  Rows of one flow and execution date are one run, in the state
+    of theirs that blocks most (running, failed, success, others); so only strictly
+    earlier runs count.  The frame is the runs of one flow, bounded by its schedule.
     """
-    r = runs.select("dag_id", S.before_first("execution_date", "+").alias("execution_date"), "state")
+    ex = S.before_first("execution_date", "+").alias("execution_date")
+    weight = F.coalesce(F.array_position(F.array(*map(F.lit, GATE_STATES)), F.col("state")), F.lit(0))
+    state = F.min_by("state", F.when(weight > 0, weight).otherwise(F.lit(len(GATE_STATES) + 1))).alias("state")
+    r = runs.groupBy("dag_id", ex).agg(state)
     w = Window.partitionBy("dag_id").orderBy("execution_date").rowsBetween(Window.unboundedPreceding, -1)
     gated = F.when(F.col("state").isin(*GATE_STATES), F.struct("execution_date", "state"))
     r = r.select("dag_id", "execution_date",

@@ -330,7 +330,7 @@ def traffic_deviation(t: Tables, cfg: DeviationConfig = DeviationConfig()) -> Da
     def recent(df: DataFrame) -> DataFrame:
         # One scalar, read first: as a literal the bound reaches the Parquet scan
         # and date-sorted files outside the last months are skipped.
-        floor = M.month_floor(df).first()["max_call_date"]
+        floor = M.month_floor(df, months=cfg.months_back).first()["max_call_date"]
         df = df.where(F.col("call_date") >= F.lit(floor))
         df = P.filter_in(df, "call_type", cfg.call_types)
         df = df.withColumn("subscriber_type", M.subscriber_class(cfg))

@@ -64,14 +64,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20,
-                  floor: int = 200, ceiling: int = 100_000) -> int:
+                  floor: int = 200) -> int:
     """Set ``spark.sql.shuffle.partitions`` for the data at hand and return it.
 
     About one partition per ``target_bytes`` of input, so a partition fits in an
     executor's memory without spilling; AQE coalesces the ones that come out
-    small.  The bounds keep tiny runs from over-splitting and huge ones from
-    creating more tasks than the scheduler handles well.
+    small.  There is no ceiling: a partition stays near ``target_bytes`` at any size.
     """
-    n = max(floor, min(ceiling, -(-input_bytes // target_bytes)))
+    n = min(max(floor, -(-input_bytes // target_bytes)), 2**31 - 1)  # the setting is a 32-bit number
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

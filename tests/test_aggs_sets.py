@@ -110,3 +110,14 @@ def test_staged_join_backs_equal_unstaged(spark, tmp_path):
     a = A.with_totals_and_ranks(df, ["m"], "v", [("k", "t", "r")], stage=st.replace)
     b = A.with_totals_and_ranks(df, ["m"], "v", [("k", "t", "r")])
     assert rows(a) == rows(b)
+
+
+def test_sums_keep_digits_beyond_six(spark):
+    from roamkit.operators import aggs as A
+    df = spark.createDataFrame([("k", 4e-7, i) for i in range(10)] + [("big", 1e20, 0), ("none", None, 0)], "k string, x double, d int")
+    got = {r["k"]: r["x"] for r in A.group_sum(df, ["k"], ["x"]).collect()}
+    assert abs(got["k"] - 4e-6) < 1e-18 and got["big"] == 1e20 and got["none"] is None
+    roll = A.rolling_avg(df.where("k = 'k'"), ["k"], "d", "x", "m").collect()
+    assert all(abs(r["m"] - 4e-7) < 1e-18 for r in roll)
+    exact = A.group_sum(df.selectExpr("k", "cast(d as decimal(20,4)) d"), ["k"], ["d"])
+    assert dict(exact.dtypes)["d"].startswith("decimal")

@@ -26,7 +26,9 @@ def test_next_partition_cases(spark):
     got = dict(rows(L.next_partition(land, audit)))
     assert got == {"a": "2024-01-02", "b": "9999-12-31", "c": "9999-12-31", "d": "2024-01-07"}
     manual = dict(rows(L.next_partition(land, audit, LoadConfig(sources=("a", "zz"), date="2023-12-31"))))
-    assert manual == {"a": "2023-12-31"}
+    assert manual == {"a": "2023-12-31", "zz": "2023-12-31"}
+    listed = dict(rows(L.next_partition(land, audit, LoadConfig(sources=("a", "zz")))))
+    assert listed == {"a": "2024-01-02", "zz": "9999-12-31"}
 
 
 @pytest.mark.parametrize("build_n,published_n,publish", [(9, 10, False), (10, 9, True), (5, 5, False), (10, 0, True)])
@@ -110,7 +112,8 @@ def test_size_shuffles(spark):
     try:
         assert size_shuffles(spark, 10 << 40) == 40960  # 10 TiB / 256 MiB
         assert size_shuffles(spark, 1 << 20) == 200
-        assert size_shuffles(spark, 1 << 60) == 100_000
+        assert size_shuffles(spark, 100 << 40) == 409_600  # no ceiling of its own
+        assert size_shuffles(spark, 1 << 60) == 2**31 - 1  # what Spark's setting can hold
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -134,3 +137,18 @@ def test_checkpoint_dir_rules():
     cluster = SimpleNamespace(conf=Conf(None), sparkContext=SimpleNamespace(_jsc=jsc, master="yarn"))
     with pytest.raises(RuntimeError):
         checkpoint_dir(cluster)
+
+
+def test_previous_run_gate_takes_strictly_earlier_runs(spark):
+    runs = spark.createDataFrame([("f", "t", "2024-01-02 00:00:00+00:00", "s", "e", "failed"),
+                                  ("f", "u", "2024-01-02 00:00:00+00:00", "s", "e", "success"),
+                                  ("f", "t", "2024-01-03 00:00:00+00:00", "s", "e", "success")], RUNS)
+    got = rows(L.previous_run_gate(runs), "execution_date", "poll")
+    assert got == [("2024-01-02 00:00:00", 1), ("2024-01-03 00:00:00", 0)]
+
+
+def test_only_other_states_give_no_default_row(spark):
+    from roamkit.plans.catalog import _gate_or_default
+    runs = spark.createDataFrame([("f", "t", "2024-01-02 00:00:00+00:00", "s", "e", "queued")], RUNS)
+    assert _gate_or_default(spark, runs, "f", "2024-01-05").collect() == []
+    assert [r["poll"] for r in _gate_or_default(spark, runs, "f", "2024-01-01").collect()] == [1]
