@@ -1,7 +1,7 @@
 """Scalar column functions.
 
-All of them are compositions of Spark built-ins, so they stay inside
-whole-stage code generation; none is a Python UDF.
+All of them are compositions of Spark built-ins; none is a Python UDF.  Regex
+extraction and lambdas (initcap of odd words) are interpreted per row.
 """
 
 from __future__ import annotations
