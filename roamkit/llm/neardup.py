@@ -12,7 +12,10 @@ members are in several classes, names one member of the largest class leader, an
 every other document against the one of its buckets' leaders that it agrees with best; so
 a large group is settled with a few pairs a member.  A last pass verifies what is left of
 the pairs across classes, so that no candidate pair between two classes is left out;
-pairs within a class are never made.  A pair is linked when its exact
+pairs within a class are never made.  There, a bucket's members are dealt into blocks of
+bounded size, and a pair of blocks is one row: its candidates (each pair only in the first
+band that it shares) and, later, their texts, which travel once a pair of blocks instead of
+once a pair.  A pair is linked when its exact
 probability Jaccard, or the plain Jaccard of its distinct shingles, is ``SIMILARITY``
 or more.  Classes are the connected components of the links.
 
@@ -42,6 +45,8 @@ WORDS, SIMILARITY = 5, 0.8
 REGISTERS, ROWS = 96, 4
 BANDS = REGISTERS // ROWS
 MIN_AGREE, ROUNDS = 58, 4
+#: A block holds about so many documents and words.
+BLOCK, BLOCK_WORDS = 256, 200_000
 LONGS = REGISTERS // 8
 _U = np.uint64
 
@@ -121,15 +126,16 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         doc, h, w = shingles(list(pdf["words"]))
         z = prob_minhash(doc, h, w, len(pdf))
         some = np.array([len(x) > 0 for x in pdf["words"]], dtype=bool)
+        z &= _U(255)
         bands = mixed(reduce(lambda acc, k: mixed(acc + z[:, k::ROWS]), range(ROWS), np.zeros((len(pdf), BANDS), np.uint64)) + np.arange(BANDS, dtype=np.uint64))
-        packed = np.ascontiguousarray((z & _U(255)).astype(np.uint8)).view(np.int64)
-        out = pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "bands": list(bands.view(np.int64))})
+        packed = np.ascontiguousarray(z.astype(np.uint8)).view(np.int64)
+        out = pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "n_words": [len(x) for x in pdf["words"]], "bands": list(bands.view(np.int64))})
         for k in range(LONGS):
             out[f"s{k}"] = packed[:, k]
         yield out[some]
 
 
-SIGNED = "id long, digest struct<x:long,y:long>, bands array<long>, " + ", ".join(f"s{k} long" for k in range(LONGS))
+SIGNED = "id long, digest struct<x:long,y:long>, n_words long, bands array<long>, " + ", ".join(f"s{k} long" for k in range(LONGS))
 
 
 def _agree(a: str, b: str) -> Column:
@@ -158,12 +164,110 @@ def verified(pairs: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame
     ``texts`` has id, digest and text, ``chosen`` the id and digest that stand for each distinct text.
     """
     pairs = stage(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(chosen, "id")
-    words = stage(texts.join(ids, ["id", "digest"], "left_semi").select("id", word_hashes(F.col("text")).alias("words")).dropDuplicates(["id"]), "pair-words")
+    words = words_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts, chosen)
     side = lambda x: words.select(F.col("id").alias(x), F.col("words").alias(f"words_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a long, b long")
 
 
+def words_of(ids: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, words): the word hashes of the text that stands for each of ``ids``."""
+    ids = ids.distinct().join(chosen, "id")
+    return stage(texts.join(ids, ["id", "digest"], "left_semi").select("id", word_hashes(F.col("text")).alias("words")).dropDuplicates(["id"]), "pair-words")
+
+
+def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of two blocks of a bucket (or within one) whose classes differ, whose registers agree and that share no earlier band."""
+    registers = lambda row, x: np.stack([getattr(row, f"{x}_s{k}") for k in range(LONGS)], axis=1).view(np.uint8)
+    for pdf in batches:
+        out = []
+        for row in pdf.itertuples(index=False):
+            a, b = registers(row, "a"), registers(row, "b")
+            fit = row.a_class[:, None] != row.b_class[None, :]
+            if row.x == row.y:
+                fit = np.triu(fit, 1)
+            i, j = np.nonzero(fit)
+            # some pairs at a time, so that a pair of full blocks stays small in memory
+            good = [np.zeros(0, bool)]
+            for at in range(0, len(i), 16_384):
+                same = a[i[at : at + 16_384]] == b[j[at : at + 16_384]]
+                earlier = same.reshape(len(same), BANDS, ROWS)[:, : row.band].all(axis=2).any(axis=1)
+                good.append(~earlier & (same.sum(axis=1) >= MIN_AGREE))
+            good = np.concatenate(good)
+            if good.any():
+                out.append((row.bucket, row.x, row.y, row.a_id[i[good]], row.b_id[j[good]]))
+        yield pd.DataFrame(out, columns=["bucket", "x", "y", "a", "b"])
+
+
+def linked(n: int, doc: np.ndarray, h: np.ndarray, w: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) of ``n`` documents, given as by ``shingles``, have a similarity of ``SIMILARITY`` or more.
+
+    One document against all its partners at a time.  Plain Jaccard is exact; probability Jaccard has a
+    bound first (the sum of maxima is at least the maximum of the sums) and is worked out where that allows a link.
+    """
+    cut = np.searchsorted(doc, np.arange(n + 1))
+    mass = np.array([w[cut[k] : cut[k + 1]].sum() for k in range(n)])
+    _, word = np.unique(h, return_inverse=True)
+    held, good = np.zeros(len(h) + 1), np.zeros(len(i), bool)
+    order = np.argsort(i, kind="stable")
+    for mine in np.split(order, np.flatnonzero(np.diff(i[order])) + 1) if len(i) else []:
+        k, others = i[mine[0]], j[mine]
+        own = slice(cut[k], cut[k + 1])
+        held[word[own]] = w[own]
+        size = cut[others + 1] - cut[others]
+        pair = np.repeat(np.arange(len(others)), size)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(size) - size, size) + cut[others][pair]
+        u = held[word[at]]
+        common = u > 0
+        pair, u, v = pair[common], u[common], w[at[common]]
+        total = lambda x: np.bincount(pair, x, len(others))  # noqa: B023, E731
+        both, in_u, in_v = total(np.ones(len(u))), total(u), total(v)
+        plain = both / (cut[k + 1] - cut[k] + size - both)
+        only_u, only_v = mass[k] - in_u, mass[others] - in_v
+        bound = total(1 / (only_u[pair] / u + only_v[pair] / v + np.maximum(in_u[pair] / u, in_v[pair] / v)))
+        good[mine] = plain >= SIMILARITY
+        for p in np.flatnonzero((plain < SIMILARITY) & (bound >= SIMILARITY - 1e-9)):
+            o = slice(cut[others[p]], cut[others[p] + 1])
+            good[mine[p]] = similarity(h[own], w[own], h[o], w[o]) >= SIMILARITY
+        held[word[own]] = 0
+    return good
+
+
+def _verify_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for ids, words, a, b in zip(pdf["ids"], pdf["words"], pdf["a"], pdf["b"], strict=True):
+            order = np.argsort(ids)
+            place = lambda x: order[np.searchsorted(ids, x, sorter=order)]  # noqa: B023, E731
+            good = linked(len(ids), *shingles(list(words)), place(a), place(b))
+            yield pd.DataFrame({"a": a[good], "b": b[good]})
+
+
+def across_classes(buckets: DataFrame, torn: DataFrame, label: DataFrame, sig: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The links (a, b) among all candidate pairs between two classes."""
+    across = buckets.join(torn, "bucket").join(label, "id").join(sig, "id")
+    minor = F.col("class") != F.col("major")
+    whole = (F.col("n_all") <= BLOCK) & (F.col("w_all") <= BLOCK_WORDS)
+    parts = lambda n, w: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(w / BLOCK_WORDS))
+    few = parts(F.col("n_all") - F.col("n_major"), F.col("w_all") - F.col("w_major"))
+    dealt = lambda n: F.pmod(F.xxhash64("id"), n)
+    block = F.when(whole, 0).when(minor, dealt(few)).otherwise(few + dealt(parts(F.col("n_major"), F.col("w_major"))))
+    fields = ["id", "class", *(f"s{k}" for k in range(LONGS))]
+    across = across.select("bucket", "band", block.alias("block"), whole.alias("whole"), (whole | minor).alias("minor"), *fields)
+    blocks = across.groupBy("bucket", "band", "block", "whole", "minor").agg(F.collect_list(F.struct(*fields)).alias("of"))
+    blocks = stage(blocks, "blocks")
+    side = lambda x: [F.col(f"{x}.of.{c}").alias(f"{x}_{c}") for c in fields]
+    both = lambda df: df.select("a.bucket", "a.band", F.col("a.block").alias("x"), F.col("b.block").alias("y"), *side("a"), *side("b"))
+    # members of the largest class meet only others: their blocks come after all blocks of the rest
+    one = blocks.where("minor")
+    own = one.select("bucket", "band", F.col("block").alias("x"), F.col("block").alias("y"), *[F.col(f"of.{c}").alias(f"{x}_{c}") for x in "ab" for c in fields])
+    two = both(one.where("not whole").alias("a").join(blocks.where("not whole").alias("b"), F.expr("a.bucket = b.bucket and a.block < b.block")))
+    key = ["bucket", "x", "y"]
+    cells = stage(own.union(two).mapInPandas(_candidates, "bucket long, x long, y long, a array<long>, b array<long>"), "cells")
+    needs = stage(cells.select(*key, F.explode(F.array_distinct(F.concat("a", "b"))).alias("id")), "needs")
+    words = words_of(needs.select("id"), texts, chosen)
+    filled = needs.join(words, "id").groupBy(*key).agg(F.collect_list(F.struct("id", "words")).alias("of"))
+    return cells.join(filled, key).select(F.col("of.id").alias("ids"), F.col("of.words").alias("words"), "a", "b").mapInPandas(_verify_cells, "a long, b long")
+
+
 def components(ids: DataFrame, links: DataFrame, name: str) -> DataFrame:
     """(id, class): the smallest id in the connected component, for every linked id.
 
@@ -195,34 +299,30 @@ def classes(signed: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame
 
     ``signed`` is a written table of one row an id (see ``SIGNED``); ``texts`` and ``chosen`` as in ``verified``.
     """
-    buckets = signed.select("id", F.explode("bands").alias("bucket"))
+    buckets = signed.select("id", "n_words", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     buckets = stage(buckets.join(shared, "bucket"), "buckets")
-    sig = signed.drop("bands")
+    sig = signed.drop("bands", "n_words")
     label = stage(buckets.select("id").distinct().withColumn("class", F.col("id")), "members")
     agreeing = lambda pairs: pairs.alias("p").join(sig.alias("a"), F.col("p.a") == F.col("a.id")).join(sig.alias("b"), F.col("p.b") == F.col("b.id")).withColumn("agree", _agree("a", "b")).where(F.col("agree") >= MIN_AGREE)
     for turn in range(ROUNDS):
         torn = torn_buckets(buckets, label, turn)
-        beside = buckets.join(label, "id").join(torn, "bucket").where("class <> major")
+        beside = buckets.join(label, "id").join(torn.select("bucket", "major", "leader"), "bucket").where("class <> major")
         pairs = agreeing(beside.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
         nearest = pairs.groupBy(F.col("p.a").alias("a")).agg(F.max_by("p.b", F.struct("agree", "p.b")).alias("b"))
         label = merged(label, verified(nearest, texts, chosen), f"round-{turn}")
     torn = torn_buckets(buckets, label, ROUNDS)
-    across = stage(buckets.join(torn.select("bucket", "major"), "bucket").join(label, "id").join(sig, "id"), "across")
-    # from each member outside the bucket's largest class to the members of every other class, once
-    minor = across.where("class <> major").alias("a")
-    other = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class") != F.col("b.class")) & ((F.col("b.class") == F.col("b.major")) | (F.col("a.id") < F.col("b.id")))
-    found = minor.join(across.alias("b"), other & (_agree("a", "b") >= MIN_AGREE))
-    rest = verified(found.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), texts, chosen)
-    return merged(label, rest, "rest")
+    return merged(label, across_classes(buckets, torn, label, sig, texts, chosen), "rest")
 
 
 def torn_buckets(buckets: DataFrame, label: DataFrame, turn: int) -> DataFrame:
-    """Buckets with members of several classes: the largest class and one member of it, another each turn."""
+    """Buckets with members of several classes: the largest class, one member of it (another each turn), documents and words."""
     some = F.max(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id")).alias("some")
-    inside = buckets.join(label, "id").groupBy("bucket", "class").agg(F.count("*").alias("n"), some)
-    torn = inside.groupBy("bucket").agg(F.count("*").alias("classes"), F.max(F.struct("n", "class", "some")).alias("top")).where("classes > 1")
-    return stage(torn.select("bucket", F.col("top.class").alias("major"), F.col("top.some.id").alias("leader")), f"torn-{turn}")
+    inside = buckets.join(label, "id").groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("n_words").alias("w"), some)
+    top = F.max(F.struct("n", "class", "w", "some")).alias("top")
+    torn = inside.groupBy("bucket").agg(F.count("*").alias("classes"), F.sum("n").alias("n_all"), F.sum("w").alias("w_all"), top).where("classes > 1")
+    named = {"major": "top.class", "leader": "top.some.id", "n_major": "top.n", "w_major": "top.w"}
+    return stage(torn.select("bucket", "n_all", "w_all", *[F.col(at).alias(to) for to, at in named.items()]), f"torn-{turn}")
 
 
 def merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:

@@ -286,7 +286,27 @@ def test_registers_estimate_probability_jaccard():
     assert neardup.similarity(a, x, a, y) == plain and abs(neardup.similarity(a[:150], x[:150], a[100:250], x[100:250]) - 50 / 250) < 1e-9
 
 
-def test_classes_against_brute_force(spark, edges):
+def test_links_of_a_block():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 10**6, 150)
+    words = []
+    for k in range(40):
+        own = np.r_[base, np.repeat(base[:10], k % 4 * 20)] if k % 3 else base.copy()
+        own[rng.integers(0, len(own), k % 7)] = k
+        words.append(own)
+    words.append(base[:0])
+    doc, h, w = neardup.shingles(words)
+    part = lambda k: (h[doc == k], w[doc == k])
+    i, j = np.triu_indices(len(words), 1)
+    got = neardup.linked(len(words), doc, h, w, i, j)
+    want = [neardup.similarity(*part(a), *part(b)) >= neardup.SIMILARITY for a, b in zip(i, j)]
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+@pytest.mark.parametrize("rounds, block", [(4, 256), (0, 3)])
+def test_classes_against_brute_force(spark, edges, monkeypatch, rounds, block):
+    monkeypatch.setattr(neardup, "ROUNDS", rounds)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     rng = np.random.default_rng(6)
     texts = []
     for g in range(30):
