@@ -171,7 +171,8 @@ def verified(pairs: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame
 
 def words_of(ids: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
     """(id, words): the word hashes of the text that stands for each of ``ids``."""
-    ids = ids.distinct().join(chosen, "id")
+    # written first: while their size is under Spark's limit they are broadcast, and no text is shuffled
+    ids = stage(ids.distinct().join(chosen, "id"), "pair-ids")
     return stage(texts.join(ids, ["id", "digest"], "left_semi").select("id", word_hashes(F.col("text")).alias("words")).dropDuplicates(["id"]), "pair-words")
 
 
