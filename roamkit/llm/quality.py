@@ -58,7 +58,7 @@ def chi2_quantile(p: float, k: int) -> float:
     return high
 
 
-CUTOFF = chi2_quantile(1 - 1e-6, len(X))
+CUTOFF = chi2_quantile(0.999, len(X))
 #: Makes the covariance of the inner ``ALPHA`` share consistent for normal rows.
 CONSISTENCY = ALPHA / chi2_cdf(chi2_quantile(ALPHA, len(X)), len(X) + 2)
 

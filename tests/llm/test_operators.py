@@ -275,6 +275,16 @@ def test_quality_counts_and_outliers(spark, edges):
     assert all(got[100 + k][0]["kept"] for k in range(300)) and not got[401][0]["kept"]
 
 
+def test_menu_junk_is_an_outlier(spark):
+    """A pipe after every third word: its squared distance (23.4) is over the 0.999 quantile and under that of 1 - 1e-6."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefgé"), rng.integers(2, 8)))
+    texts = [" ".join(word() for _ in range(rng.integers(30, 200))) for _ in range(400)]
+    texts.append(" ".join(word() + (" |" if k % 3 == 0 else "") for k in range(80)))
+    docs = spark.createDataFrame([(k, t, "en", "a") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert [r["doc_id"] for r in rows_of(quality.op9(docs)) if not r["kept"]] == [400]
+
+
 def test_registers_estimate_probability_jaccard():
     a = np.arange(1, 301, dtype=np.uint64)
     x, y = np.ones(300), np.r_[np.ones(240), np.full(60, 3.0)]
