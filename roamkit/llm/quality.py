@@ -9,8 +9,9 @@ a row's text never leaves its scan, only its numbers are shuffled.
 
 Order statistics are read from counts in fixed fine bins, so that they merge like
 sums and do not depend on how rows are dealt out.  A (language, source) with fewer
-than ``MIN_ROWS`` rows uses its language's estimate, and a language with fewer
-keeps what the base rules keep.
+than ``MIN_ROWS`` rows that pass the base rules uses its language's estimate, and a
+language with fewer that of all rows, however few they are; so every row gets a
+distance as soon as one row passes the base rules.
 
 Defined cases: NULL or empty text has no words and fails the base rules; NULL
 language or source counts as the empty string; repeated rows count and are returned
@@ -34,6 +35,8 @@ VECTOR = {"log_words": 0.5, "log_word_chars": 0.1, "symbol_share": 0.02, "capita
 X = list(VECTOR)
 #: Parts of a unit in the bins of the first estimate, and of a doubling in those of squared distances.
 UNIT, OCTAVE = 500, 64
+#: The group of all rows; the other groups are JSON objects.
+EVERYTHING = "*"
 
 
 def chi2_cdf(x: float, k: int) -> float:
@@ -149,15 +152,15 @@ def fit(rows: DataFrame) -> DataFrame:
 
 
 def rules(docs: DataFrame) -> DataFrame:
-    """Base counts, base_failed, d2 (NULL where none applies) and kept, for every row."""
+    """Base counts, base_failed, d2 (NULL if no row passes the base rules) and kept, for every row."""
     rows = stage(measured(docs), "measured")
     own, pooled = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
-    grouped = stage(rows.where("not base_failed").select(F.explode(F.array(own, pooled)).alias("g"), *X), "vectors")
-    sizes = grouped.groupBy("g").agg(F.count("*").alias("rows_of")).where(F.col("rows_of") >= MIN_ROWS)
+    grouped = stage(rows.where("not base_failed").select(F.explode(F.array(own, pooled, F.lit(EVERYTHING))).alias("g"), *X), "vectors")
+    sizes = grouped.groupBy("g").agg(F.count("*").alias("rows_of")).where((F.col("rows_of") >= MIN_ROWS) | (F.col("g") == EVERYTHING))
     estimates = stage(fit(grouped.join(stage(sizes, "sizes").select("g"), "g", "left_semi")), "mcd")
-    known = estimates.select("g", F.lit(True).alias("known"))
-    keyed = rows.withColumn("own", own).withColumn("pooled", pooled)
-    chosen = keyed.join(known.withColumnRenamed("g", "own"), "own", "left").withColumn("g", F.when(F.col("known"), F.col("own")).otherwise(F.col("pooled")))
+    known = lambda level: estimates.select(F.col("g").alias(level), F.lit(True).alias(f"{level}_known"))
+    keyed = rows.withColumn("own", own).withColumn("pooled", pooled).join(known("own"), "own", "left").join(known("pooled"), "pooled", "left")
+    chosen = keyed.withColumn("g", F.when(F.col("own_known"), F.col("own")).when(F.col("pooled_known"), F.col("pooled")).otherwise(F.lit(EVERYTHING)))
     dist = _distance(chosen.join(estimates, "g", "left"))
     return dist.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))).alias("kept"), "d2")

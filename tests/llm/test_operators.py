@@ -285,6 +285,20 @@ def test_menu_junk_is_an_outlier(spark):
     assert [r["doc_id"] for r in rows_of(quality.op9(docs)) if not r["kept"]] == [400]
 
 
+def test_rare_languages_are_judged(spark):
+    """Languages too small for an estimate of their own, and NULL, are judged by that of all rows."""
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefgé"), rng.integers(2, 8)))
+    text = lambda: " ".join(word() for _ in range(rng.integers(30, 200)))
+    rows = [(k, text(), "en" if k < 300 else ("fr", "de", None)[k % 3]) for k in range(330)]
+    rows += [(k, " ".join(word().upper() + "$$$" for _ in range(60)), lang) for k, lang in ((400, "fr"), (401, "xx"), (402, None))]
+    docs = spark.createDataFrame([(*r, "a") for r in rows], "doc_id long, text string, lang string, source string")
+    got = rows_of(quality.op9(docs))
+    assert all(r["d2"] is not None for r in got) and {r["doc_id"] for r in got if not r["kept"]} == {400, 401, 402}
+    few = docs.where("lang = 'fr'")  # fewer rows in all than MIN_ROWS
+    assert [r["doc_id"] for r in rows_of(quality.op9(few)) if not r["kept"]] == [400]
+
+
 def test_registers_estimate_probability_jaccard():
     a = np.arange(1, 301, dtype=np.uint64)
     x, y = np.ones(300), np.r_[np.ones(240), np.full(60, 3.0)]
