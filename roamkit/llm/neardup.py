@@ -5,9 +5,10 @@ they occur.  Equal texts are grouped first and only one of each goes on.  Every
 shingle sends the arrivals of a Poisson process of its weight to the signature's
 registers; arrivals later than every register's present minimum cannot change the
 signature, so a shingle stops there (early termination).  Two registers agree with
-the probability Jaccard of the documents.
+the probability Jaccard of the documents.  A second signature gives every shingle the
+weight 1, so that its registers agree with the plain Jaccard.
 
-Bands of the signature give buckets.  Each of ``ROUNDS`` rounds takes the buckets whose
+Bands of both signatures give buckets.  Each of ``ROUNDS`` rounds takes the buckets whose
 members are in several classes, names one member of the largest class leader, and verifies
 every other document against the one of its buckets' leaders that it agrees with best; so
 a large group is settled with a few pairs a member.  A last pass verifies what is left of
@@ -19,8 +20,10 @@ once a pair.  A pair is linked when its exact
 probability Jaccard, or the plain Jaccard of its distinct shingles, is ``SIMILARITY``
 or more.  Classes are the connected components of the links.
 
-Odds: at similarity 0.8 all ``BANDS`` bands miss with probability 3e-6, and fewer than
-``MIN_AGREE`` of 96 one-byte registers agree with probability of about 1e-5.
+A pair goes on to verification if ``MIN_AGREE`` registers of either signature agree.
+Odds: at a probability Jaccard of 0.8 all bands of the first signature, and at a plain
+Jaccard of 0.8 all bands of the second, miss with probability 3e-6, and fewer than
+``MIN_AGREE`` of its 96 one-byte registers agree with probability of about 1e-5.
 
 Defined cases: NULL text counts as empty; equal texts (empty ones too) are one class;
 texts of fewer than five words are one shingle; a text without words has links to equal
@@ -42,12 +45,13 @@ from pyspark.sql import functions as F
 from roamkit.llm.shared import python_tasks, stage
 
 WORDS, SIMILARITY = 5, 0.8
-REGISTERS, ROWS = 96, 4
-BANDS = REGISTERS // ROWS
+#: Signatures a document (weighted by counts, and unit weights), registers of each, registers a band.
+KINDS, REGISTERS, ROWS = 2, 96, 4
+BANDS = KINDS * REGISTERS // ROWS
 MIN_AGREE, ROUNDS = 58, 4
 #: A block holds about so many documents and words.
 BLOCK, BLOCK_WORDS = 256, 200_000
-LONGS = REGISTERS // 8
+LONGS = KINDS * REGISTERS // 8
 _U = np.uint64
 
 
@@ -125,6 +129,14 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         doc, h, w = shingles(list(pdf["words"]))
         z = prob_minhash(doc, h, w, len(pdf))
+        plain = z.copy()
+        # without a repeated shingle both signatures are the same
+        again = np.zeros(len(pdf), bool)
+        again[doc[w > 1]] = True
+        if again.any():
+            of = again[doc]
+            plain[again] = prob_minhash((np.cumsum(again) - 1)[doc[of]], h[of], np.ones(int(of.sum())), int(again.sum()))
+        z = np.concatenate([z, plain], axis=1)
         some = np.array([len(x) > 0 for x in pdf["words"]], dtype=bool)
         z &= _U(255)
         bands = mixed(reduce(lambda acc, k: mixed(acc + z[:, k::ROWS]), range(ROWS), np.zeros((len(pdf), BANDS), np.uint64)) + np.arange(BANDS, dtype=np.uint64))
@@ -139,14 +151,15 @@ SIGNED = "id long, digest struct<x:long,y:long>, n_words long, bands array<long>
 
 
 def _agree(a: str, b: str) -> Column:
-    """Registers that agree: equal bytes of the packed signatures."""
+    """Registers that agree, in the signature where more do: equal bytes of the packed signatures."""
     differ = []
     for k in range(LONGS):
         x = F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))
         for by in (4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, by))
         differ.append(F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101))))
-    return F.lit(REGISTERS) - sum(differ[1:], differ[0])
+    each = LONGS // KINDS
+    return F.lit(REGISTERS) - F.least(*[sum(differ[k + 1 : k + each], differ[k]) for k in range(0, LONGS, each)])
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,7 +205,7 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for at in range(0, len(i), 16_384):
                 same = a[i[at : at + 16_384]] == b[j[at : at + 16_384]]
                 earlier = same.reshape(len(same), BANDS, ROWS)[:, : row.band].all(axis=2).any(axis=1)
-                good.append(~earlier & (same.sum(axis=1) >= MIN_AGREE))
+                good.append(~earlier & (same.reshape(len(same), KINDS, REGISTERS).sum(axis=2).max(axis=1) >= MIN_AGREE))
             good = np.concatenate(good)
             if good.any():
                 out.append((row.bucket, row.x, row.y, row.a_id[i[good]], row.b_id[j[good]]))

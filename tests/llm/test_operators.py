@@ -357,6 +357,19 @@ def test_classes_against_brute_force(spark, edges, monkeypatch, rounds, block):
     assert edge == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 8, None: None}
 
 
+@pytest.mark.parametrize("rounds", [4, 0])
+def test_copies_whose_footer_repeats_unequally(spark, monkeypatch, rounds):
+    """Plain Jaccard is over 0.8 and probability Jaccard far under it: candidates must come from unit weights too."""
+    monkeypatch.setattr(neardup, "ROUNDS", rounds)
+    rng = np.random.default_rng(10)
+    texts = []
+    for g in range(8):
+        base, footer = [f"w{x}" for x in rng.integers(0, 10**6, 150)], [f"f{g}x{x}" for x in range(10)]
+        texts += [" ".join(base + footer), " ".join(base + footer * 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in neardup.op10(docs).collect()} == {k: k - k % 2 for k in range(16)}
+
+
 def test_pipeline(spark, edges, labels, tmp_path):
     import corpus_pipeline as p
     labels.write.parquet(f"{tmp_path}/labels.parquet")
