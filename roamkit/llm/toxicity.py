@@ -6,8 +6,10 @@ chosen from all sampled labelled documents; the machine gives each a weight and
 vector, so that pairs of terms add their inner product to the linear sum.
 
 Training takes at most about ``SAMPLE`` labelled documents of each class, chosen by a hash
-of the id (a documented bound; all are taken while there are fewer); their chosen terms,
-a few numbers a document, are fitted on the driver.  Scoring reads whole texts, scans
+of the id (a documented bound; all are taken while there are fewer).  Each counts in the
+loss as many times as its class was thinned out, so that scores keep the natural share of
+toxic documents; the choice of terms compares classes and counts the sample as it is.
+Their chosen terms, a few numbers a document, are fitted on the driver.  Scoring reads whole texts, scans
 once and shuffles nothing.
 
 Defined cases: NULL text counts as empty; a text without chosen terms (an empty one too)
@@ -75,10 +77,11 @@ def margin(doc: np.ndarray, at: np.ndarray, n: int, bias: float, weight: np.ndar
     return bias + np.bincount(doc, weight[at], n) + 0.5 * ((sums**2).sum(1) - squares), sums
 
 
-def fit(docs: list[list[int]], label: np.ndarray, chosen: np.ndarray, steps: int = 400, rate: float = 0.1, ridge: float = 1e-5) -> FactorizationMachine:
-    """Logistic loss, full batches, Adam; the seed is fixed."""
+def fit(docs: list[list[int]], label: np.ndarray, chosen: np.ndarray, steps: int = 400, rate: float = 0.1, ridge: float = 1e-5, counts: np.ndarray | None = None) -> FactorizationMachine:
+    """Logistic loss, full batches, Adam; the seed is fixed.  Document ``k`` stands for ``counts[k]`` documents."""
     n, m = len(docs), len(chosen)
-    share = (label.sum() + 0.5) / (n + 1)
+    counts = np.ones(n) if counts is None else counts
+    share = ((label * counts).sum() + 0.5) / (counts.sum() + 1)
     if m == 0 or label.min(initial=1) == label.max(initial=0):
         return FactorizationMachine(chosen, float(np.log(share / (1 - share))), np.zeros(m), np.zeros((m, FACTORS)))
     doc = np.repeat(np.arange(n), [len(d) for d in docs])
@@ -88,7 +91,7 @@ def fit(docs: list[list[int]], label: np.ndarray, chosen: np.ndarray, steps: int
     for step in range(1, steps + 1):
         weight, factor = value[1 : m + 1], value[m + 1 :].reshape(m, FACTORS)
         z, sums = margin(doc, at, n, value[0], weight, factor)
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / n
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) * counts / counts.sum()
         grad = np.concatenate([[error.sum()], np.bincount(at, error[doc], m), *([np.zeros(m * FACTORS)])])
         slope = grad[m + 1 :].reshape(m, FACTORS)
         for k in range(FACTORS):
@@ -100,19 +103,19 @@ def fit(docs: list[list[int]], label: np.ndarray, chosen: np.ndarray, steps: int
 
 
 def sample(labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """At most about ``size`` labelled ids of each class outside the held-out third: (doc_id, toxic)."""
+    """At most about ``size`` labelled ids of each class outside the held-out third: (doc_id, toxic, stands_for)."""
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     count = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000))
     part = F.when(F.col("toxic") == 1, F.lit(size / max(1, count.get(1, 0)))).otherwise(F.lit(size / max(1, count.get(0, 0))))
-    return known.where(place < part * 1_000_000)
+    return known.where(place < part * 1_000_000).withColumn("stands_for", F.greatest(F.lit(1.0), 1 / part))
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> FactorizationMachine:
     python_tasks(docs.sparkSession)
     ids = stage(sample(labels, size), "labelled")
-    # at most about 2 x size ids of 12 bytes: a proven bound for the broadcast
+    # at most about 2 x size ids of 20 bytes: a proven bound for the broadcast
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,10 +142,10 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Factorizati
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "at": [sorted(place[t] for t in terms(x) & place.keys()) for x in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "toxic": pdf["toxic"], "stands_for": pdf["stands_for"], "at": [sorted(place[t] for t in terms(x) & place.keys()) for x in pdf["text"]]})
 
-    got = rows.mapInPandas(found, "doc_id long, toxic int, at array<int>").orderBy("doc_id", "at").collect() if len(chosen) else rows.select("toxic").withColumn("at", F.array()).collect()
-    return fit([list(r["at"]) for r in got], np.array([r["toxic"] for r in got], dtype=float), chosen)
+    got = rows.mapInPandas(found, "doc_id long, toxic int, stands_for double, at array<int>").orderBy("doc_id", "at").collect() if len(chosen) else rows.select("toxic", "stands_for").withColumn("at", F.array()).collect()
+    return fit([list(r["at"]) for r in got], np.array([r["toxic"] for r in got], dtype=float), chosen, counts=np.array([r["stands_for"] for r in got], dtype=float))
 
 
 #: Terms of chunks a worker has seen, by model.

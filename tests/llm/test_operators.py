@@ -202,6 +202,17 @@ def test_held_out_accuracy(spark):
     assert len(got) > 300 and all(r["predicted"] == (r["doc_id"] % 5 == 0) for r in got)
 
 
+def test_thinned_classes_keep_their_share(spark):
+    """A tenth is toxic; a sample of equal classes must not move the scores to a half."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the same plain words").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels, size=100)
+    assert 0.05 < model.scores([[]])[0] < 0.2
+    sampled, label, counts = [[0], [1]] * 50 + [[0]] * 100, np.r_[np.ones(100), np.zeros(100)], np.r_[np.ones(100), np.full(100, 9.0)]
+    natural = toxicity.fit(sampled + [[0]] * 800, np.r_[label, np.zeros(800)], np.array([11, 22]))
+    assert np.allclose(toxicity.fit(sampled, label, np.array([11, 22]), counts=counts).scores([[0], [1], []]), natural.scores([[0], [1], []]), atol=0.01)
+
+
 def test_search_against_brute_force(spark, edges):
     rng = np.random.default_rng(4)
     rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 40) if x < 3000)) for k in range(500)] + [(900, None), (901, "")]
