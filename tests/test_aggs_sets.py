@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roamkit.operators import aggs as A
 from roamkit.operators import sets as U
-from conftest import rows
+from row_helpers import rows
 
 D = dt.date
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from roamkit.operators import filters as P
 from roamkit.operators import joins as J
-from conftest import rows
+from row_helpers import rows
 
 D = dt.date
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from roamkit.config import LoadConfig
 from roamkit.plans import load as L
 from roamkit.sources.tables import TableStore, read_partition
-from conftest import rows
+from row_helpers import rows
 
 D = dt.date
 

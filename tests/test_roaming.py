@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from roamkit.config import AlertConfig, ValuedConfig
 from roamkit.operators import roaming as M
-from conftest import rows
+from row_helpers import rows
 
 D = dt.date
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roamkit.functions import scalars as S
-from conftest import rows
+from row_helpers import rows
 
 
 def one(spark, expr, value, schema="s string"):
