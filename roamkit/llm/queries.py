@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from roamkit.llm import bpe, neardup, packing, quality, search, secret_scan, sharding, toxicity, warc, wavelet
+from roamkit.llm import bpe, ffd, merkle, neardup, oracles, packing, quality, search, secret_scan, sharding, toxicity, treap, warc, wavelet
 from roamkit.llm.shared import documents_of
 
 WORD_VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -20,6 +20,9 @@ QUERIES = {
     "op8_virtual_slots": lambda spark, d: sharding.op8(documents_of(spark, d)),
     "op9_quality_mcd": lambda spark, d: quality.op9(documents_of(spark, d)),
     "op10_prob_minhash": lambda spark, d: neardup.op10(documents_of(spark, d)),
+    "op11_treap_search": lambda spark, d: treap.op11(documents_of(spark, d), documents_of(spark, d, "benchmark")),
+    "op12_tournament_packing": lambda spark, d: ffd.op12(documents_of(spark, d), public_tokenizers.path(BYTE_VOCABULARY)),
+    "op13_merkle_climb": lambda spark, d: merkle.op13(documents_of(spark, d)),
 }
 
 ORACLES = {
@@ -30,4 +33,6 @@ ORACLES = {
                case when payload_bytes >= 100 and page_id > first then 'revisit' else 'response' end as record_type,
                case when payload_bytes >= 100 and page_id > first then first end as refers_to
         from sized""",
+    "op11_treap_search": oracles.ranked_search(),
+    "op13_merkle_climb": oracles.merkle(),
 }
