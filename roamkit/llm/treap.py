@@ -32,7 +32,7 @@ from __future__ import annotations
 import json
 import string
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,7 +78,7 @@ def spread(x: np.ndarray) -> np.ndarray:
 
 
 def hashes(terms: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(t) for t in terms], np.uint64)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
 
 
 class Treap:
@@ -116,37 +116,41 @@ class Treap:
         self.point = (np.cumsum(self.mask == 0) - 1).astype(np.int32)
         self.row, self.doc = z["row"], z["doc"]
 
-    def halved(self, level: np.ndarray, place: np.ndarray, cells: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Both halves of ranges: level, place (the range's number at its level) and cells (-1: empty)."""
-        shift = (self.height - 1 - level)[:, None]
-        down = (rows[None, :] >> shift) & 1
-        safe = np.maximum(cells, 0)
-        mask, single = self.mask[safe], (self.mask[safe] == 0) & (cells >= 0)
-        halves = []
-        for side in (0, 1):
-            quarter = (2 * down + side).astype(np.uint8)
-            there = ((mask >> quarter) & 1).astype(bool) & (cells >= 0)
-            child = np.where(there, self.first[safe] + BITS[mask & (np.left_shift(1, quarter) - 1).astype(np.uint8)], -1)
-            child = np.where(there & self._other_row(child, rows), -1, child)
-            stays = single & (((self.doc[self.point[safe] * single] >> shift) & 1) == side)
-            halves.append(np.where(stays, cells, child))
-        return np.r_[level, level] + 1, np.r_[2 * place, 2 * place + 1], np.r_[halves[0], halves[1]].astype(np.int32)
-
-    def _other_row(self, cells: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Cells that are one point of another row than the path's."""
-        safe = np.maximum(cells, 0)
-        single = self.mask[safe] == 0
-        return single & (self.row[self.point[safe] * single] != rows[None, :])
-
-    def bounds(self, cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        return np.where(cells >= 0, self.largest[np.maximum(cells, 0)], 0).astype(np.int64) @ weights
+    def halved(self, level: np.ndarray, place: np.ndarray, cells: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Level, place (the range's number at its level), cells (-1: empty) and bound of both halves of ranges."""
+        n, (at, term) = len(level), np.nonzero(cells >= 0)
+        cell, shift = cells[at, term], (self.height - 1 - level)[at]
+        mask, quarter = self.mask[cell], (2 * ((rows[term] >> shift) & 1)).astype(np.uint8)
+        left, right = (mask >> quarter) & 1 > 0, (mask >> quarter) & 2 > 0
+        child = self.first[cell] + BITS[mask & (np.left_shift(1, quarter) - 1).astype(np.uint8)]
+        alone = mask == 0
+        side = (self.doc[self.point[cell[alone]]] >> shift[alone]) & 1
+        to = np.concatenate([at[left], at[right] + n, at[alone] + n * side])
+        term = np.concatenate([term[left], term[right], term[alone]])
+        new = np.concatenate([child[left], child[right] + left[right], cell[alone]])
+        mine = self._own_row(new, rows[term])
+        to, term, new = to[mine], term[mine], new[mine]
+        out = np.full((2 * n, cells.shape[1]), -1, np.int32)
+        out[to, term] = new
+        return np.r_[level, level] + 1, np.r_[2 * place, 2 * place + 1], out, self.bounds(to, new, weights[term], 2 * n)
+
+    def _own_row(self, cells: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """False for cells that are one point of another row than the path's."""
+        own = np.ones(len(cells), bool)
+        alone = np.flatnonzero(self.mask[cells] == 0)
+        own[alone] = self.row[self.point[cells[alone]]] == rows[alone]
+        return own
+
+    def bounds(self, ranges: np.ndarray, cells: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+        """Sums a range of weight times largest impact; they are whole numbers below 2 ** 53, so doubles hold them."""
+        return np.bincount(ranges, weights * self.largest[cells].astype(np.float64), n).astype(np.int64)
 
     def search(self, rows: np.ndarray, weights: np.ndarray, doc_id: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Columns and scores of the k best documents, best first, for the terms' rows and weights."""
         docs, scores, least = np.zeros(0, np.int64), np.zeros(0, np.int64), 1
-        cells = np.zeros((1, len(rows)), np.int32)
-        cells = np.where(self._other_row(cells, rows), -1, cells).astype(np.int32)
-        level, place, bound = np.zeros(1, np.int64), np.zeros(1, np.int64), self.bounds(cells, weights)
+        cells = np.where(self._own_row(np.zeros(len(rows), np.int32), rows), 0, -1).astype(np.int32)[None, :]
+        live = np.flatnonzero(cells[0] == 0)
+        level, place, bound = np.zeros(1, np.int64), np.zeros(1, np.int64), self.bounds(0 * live, 0 * live, weights[live], 1)
         batch = max(1, min(BATCH, OPEN_CELLS // max(1, 8 * len(rows))))
         while len(level):
             deep = len(docs) < k or cells.size > OPEN_CELLS
@@ -160,8 +164,7 @@ class Treap:
                 docs, scores = docs[best], scores[best]
                 least = max(1, scores[-1]) if len(docs) == k else 1
             go = now[~ended]
-            new_level, new_place, new_cells = self.halved(level[go], place[go], cells[go], rows)
-            new_bound = self.bounds(new_cells, weights)
+            new_level, new_place, new_cells, new_bound = self.halved(level[go], place[go], cells[go], rows, weights)
             good, rest = new_bound >= least, later[bound[later] >= least]
             level, place = np.r_[level[rest], new_level[good]], np.r_[place[rest], new_place[good]]
             cells, bound = np.r_[cells[rest], new_cells[good]], np.r_[bound[rest], new_bound[good]]
@@ -178,8 +181,8 @@ class Terms:
         row[np.argsort(-df, kind="stable")] = np.arange(len(terms))
         key = hashes(terms)
         order = np.argsort(key, kind="stable")
-        text = b"".join(terms[k] for k in order)
-        start = np.cumsum(np.r_[0, [len(terms[k]) for k in order]])
+        text = b"".join(map(terms.__getitem__, order.tolist()))
+        start = np.cumsum(np.r_[0, np.fromiter(map(len, terms), np.int64, len(terms))[order]])
         return {"hash": key[order], "start": start.astype(np.int64), "text": np.frombuffer(text, np.uint8), "row": row[order].astype(np.int32), "df": df[order].astype(np.int64)}, row
 
     def __init__(self, z: dict[str, np.ndarray]):
@@ -198,6 +201,13 @@ class Terms:
         return out
 
 
+def numbering() -> defaultdict[bytes, int]:
+    """Gives each new key the next number."""
+    out: defaultdict[bytes, int] = defaultdict()
+    out.default_factory = out.__len__
+    return out
+
+
 def totals(docs: DataFrame) -> tuple[int, int]:
     """Documents with a term, and terms of all documents."""
     n = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(TERM))
@@ -212,7 +222,7 @@ def write_index(docs: DataFrame, folder: str, n_docs: int, n_terms: int) -> Data
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
-        numbers: dict[bytes, int] = {}
+        numbers = numbering()
         doc_ids, lengths, term, tf, distinct = [], [], [], [], []
 
         def flush() -> pd.DataFrame:
@@ -230,7 +240,7 @@ def write_index(docs: DataFrame, folder: str, n_docs: int, n_terms: int) -> Data
                 count = Counter(terms_of(text))
                 if not count:
                     continue
-                term.append(np.fromiter((numbers.setdefault(t, len(numbers)) for t in count), np.int32, len(count)))
+                term.append(np.fromiter(map(numbers.__getitem__, count), np.int32, len(count)))
                 tf.append(np.fromiter(count.values(), np.int64, len(count)))
                 doc_ids.append(doc_id)
                 lengths.append(count.total())
@@ -238,7 +248,7 @@ def write_index(docs: DataFrame, folder: str, n_docs: int, n_terms: int) -> Data
                 held += len(count)
                 if held >= SHARD_POSTINGS:
                     yield flush()
-                    numbers, doc_ids, lengths, term, tf, distinct, held = {}, [], [], [], [], [], 0
+                    numbers, doc_ids, lengths, term, tf, distinct, held = numbering(), [], [], [], [], [], 0
         if held:
             yield flush()
 
