@@ -13,7 +13,7 @@ leaves, which have their path in common.  A step joins the node that the row has
 appends the node's siblings to the proof and folds the hash of each leaf of the run with
 them; a leaf that was tampered with is folded from its tampered hash.  Nodes of the upper
 levels, at most ``UPPER_NODES``, are broadcast, since all rows meet in them; lower nodes
-have few rows each and are joined by a shuffle.  A row holds (2 * ARITY + levels * ARITY)
+have few rows each and are joined by a shuffle.  A row holds (2 * ARITY + levels * (ARITY - 1))
 digests at most.
 
 Defined cases: a NULL field hashes as ``-``, so NULL and empty differ; rows without a
@@ -87,6 +87,11 @@ def joined(digests: Column) -> Column:
     return F.aggregate(digests, F.lit(b""), lambda acc, x: F.concat(acc, x))
 
 
+def beside(digests: Column, k: Column) -> tuple[Column, Column]:
+    """The digests of a run before its place ``k`` (from 0), and those after it."""
+    return joined(F.slice(digests, F.lit(1), k)), joined(F.slice(digests, k + 2, F.lit(ARITY)))
+
+
 def placed(rows: DataFrame, tree: str, order: list[Column], name: str) -> DataFrame:
     """``rows``, staged, with ``pos``, the place from 0 among the rows of the same ``tree`` in ``order``, and ``n``, how many those are.
 
@@ -156,19 +161,17 @@ def parent(level: int) -> Column:
 def node_rows(runs: DataFrame, level: int) -> DataFrame:
     """The parent-linked rows of a level: id, parent, and the digests of the siblings left and right."""
     rows = runs.where(F.col("n") > 1).select("tree", parent(level).alias("parent"), F.col("run.digest").alias("run"), F.posexplode("run.pos").alias("k", "pos"))
-    left, right = F.slice("run", F.lit(1), F.col("k")), F.slice("run", F.col("k") + 2, F.lit(ARITY))
-    return rows.select(node(F.col("tree"), level, F.col("pos")).alias("id"), "parent", joined(left).alias("left"), joined(right).alias("right"))
+    left, right = beside(F.col("run"), F.col("k"))
+    return rows.select(node(F.col("tree"), level, F.col("pos")).alias("id"), "parent", left.alias("left"), right.alias("right"))
 
 
 def start_rows(runs: DataFrame) -> DataFrame:
-    """A row of the climb for each run of leaves: at, tree, proof (empty yet), and of each leaf its siblings and folded hash."""
-    digests = F.col("run.digest")
-
+    """A row of the climb for each run of leaves: at, tree, proof (empty yet), and of each leaf its digest and folded hash."""
     def leaf(x: Column, k: Column) -> Column:
-        left, right = joined(F.slice(digests, F.lit(1), k)), joined(F.slice(digests, k + 2, F.lit(ARITY)))
+        left, right = beside(F.col("run.digest"), k)
         now = F.coalesce(x["current"], x["digest"])
         folded = F.when(F.col("n") == 1, now).otherwise(combined(F.concat(left, now, right)))
-        return F.struct(x["doc_id"].alias("doc_id"), x["digest"].alias("digest"), F.concat(left, right).alias("siblings"), folded.alias("folded"))
+        return F.struct(x["doc_id"].alias("doc_id"), x["digest"].alias("digest"), folded.alias("folded"))
 
     return runs.select(parent(0).alias("at"), "tree", F.lit(b"").alias("proof"), F.transform("run", leaf).alias("leaves"))
 
@@ -179,8 +182,8 @@ CLIMB = """
         select at, tree, proof, leaves from {start}
         union all
         select n.parent, c.tree, concat(c.proof, n.left, n.right),
-               transform(c.leaves, x -> named_struct('doc_id', x.doc_id, 'digest', x.digest, 'siblings', x.siblings,
-                         'folded', unhex(sha2(lower(hex(concat(n.left, x.folded, n.right))), 256))))
+               transform(c.leaves, x -> named_struct('doc_id', x.doc_id, 'digest', x.digest, 'folded',
+                          unhex(sha2(lower(hex(concat(n.left, x.folded, n.right))), 256))))
         from climb c join {nodes} n on c.at = n.id)
     select at, tree, proof, leaves from climb
     where case when at.tree = %(top)d then at.level >= {top_cut} else at.level >= {cut} end""" % {"top": TOP}
@@ -234,8 +237,8 @@ class Manifest:
             rows = climb(rows, union([r for _, _, r in self.low]), cut, max(tops) + 1 if tops else 0, False)
         if self.high:
             rows = climb(rows, union([r for _, _, r in self.high]), never, self.height, True)
-        each = rows.select("tree", "proof", F.explode("leaves").alias("x"))
-        return each.select("tree", "x.doc_id", "x.digest", F.concat("x.siblings", "proof").alias("siblings"), "x.folded")
+        each = rows.select("tree", "proof", F.col("leaves.digest").alias("run"), F.posexplode("leaves").alias("k", "x"))
+        return each.select("tree", "x.doc_id", "x.digest", F.concat(*beside(F.col("run"), F.col("k")), "proof").alias("siblings"), "x.folded")
 
 
 def op13(docs: DataFrame) -> DataFrame:
