@@ -130,6 +130,9 @@ class LoadConfig:
     flow: str = "staging_load"
     sentinel: str = NO_PARTITION
     success_log: str = "Data is successfully loaded in staging"
+    load_task: str = "load_data_"  # task of the run log that loads a source, and the one that refuses to
+    skip_task: str = "do_not_load_"
+    job_prefix: str = "job_"
 
 
 @dataclass(frozen=True)

@@ -1,14 +1,19 @@
 """Staged-load data work (L01-L09), set-wise over landing, audit and run-log tables.
 
 A scheduler runs these checks one scalar at a time per source; here each is a
-DataFrame over *all* sources (or all runs) at once, and what to do with the
-answer stays with the caller.  Nothing is collected to the driver.
+DataFrame over *all* sources (or all runs) at once.  Nothing is collected to the
+driver.  ``StagedLoad`` chains them into one load that writes its tables: next
+partitions, build, gate, publish, audit, each step written under the run's id, so
+that a run that died is called again and goes on where it was.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roamkit.config import LoadConfig
 from roamkit.functions import scalars as S
@@ -19,6 +24,10 @@ SOURCE = "source_table_name"
 PARTITION = "partition_year_month_day"
 GATE_STATES = ("running", "failed", "success")
 
+# The texts of the audit ledger.
+NOTHING_LOADED = "Number of affected rows: 0"
+MISMATCH_LOG = ("ERROR : Staging Table Count ", " is greater than Build table count ")
+
 
 # L01 / L09 -----------------------------------------------------------------------
 def next_partition(landing: DataFrame, audit: DataFrame, cfg: LoadConfig = LoadConfig()) -> DataFrame:
@@ -49,6 +58,25 @@ def next_partition(landing: DataFrame, audit: DataFrame, cfg: LoadConfig = LoadC
     return out.select("source", F.coalesce(F.col("__d"), F.lit(cfg.sentinel)).alias("partition_value"))
 
 
+# S05 with L04 / L05 ----------------------------------------------------------------
+def partition_rows(landing: DataFrame, partitions: DataFrame, cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    """The landing rows of each source's next partition; sources at the sentinel have none.
+
+    The landing table is joined on its own partition column, uncast, to the small
+    table of partitions, so that Spark prunes the partitions it reads at run time.
+    A partition column of another type than date or text is compared by its date.
+    """
+    kind = landing.schema[PARTITION].dataType
+    todo = partitions.where(F.col("partition_value") != cfg.sentinel)
+    if isinstance(kind, T.StringType):
+        day, value = F.col(PARTITION), F.col("partition_value")
+    else:
+        day = F.col(PARTITION) if isinstance(kind, T.DateType) else F.to_date(PARTITION)
+        value = F.try_to_date("partition_value", "yyyy-MM-dd")
+    todo = J.bounded_broadcast(todo.select(F.col("source").alias("__source"), value.alias("__day")))
+    return landing.join(todo, (day == F.col("__day")) & (F.col(SOURCE) == F.col("__source"))).drop("__source", "__day")
+
+
 # L02 -------------------------------------------------------------------------------
 def count_gate(build: DataFrame, published: DataFrame, source_col: str = SOURCE) -> DataFrame:
     """Per source: build and published row counts; publish only if the build has more.
@@ -76,31 +104,37 @@ AUDIT_COLUMNS = ("SOURCE_TABLE_NAME", "DAG_NAME", "DAG_RUN_ID", "SCRIPT_LOG", "S
                  "TARGET_TABLE_NAME", "SOURCE_COUNT", "TARGET_COUNT", "STATUS", "LOGS", "PARTITION_VAL")
 
 
-def audit_rows(gate: DataFrame, partitions: DataFrame, landing: DataFrame, target: DataFrame, tasks: DataFrame,
-               run_id: Column, cfg: LoadConfig = LoadConfig(), target_prefix: str = "staging.") -> DataFrame:
-    """One 12-column audit row per source, success or count-mismatch.
+def load_task(loaded: Column, source: Column, cfg: LoadConfig) -> Column:
+    """The task that stands for a source's outcome in the run log: its load, or its refusal."""
+    return F.concat(F.when(loaded, F.lit(cfg.load_task)).otherwise(F.lit(cfg.skip_task)), source)
+
 
-    ``gate`` from :func:`count_gate`, ``partitions`` from :func:`next_partition`,
-    ``tasks`` per source with ``start_date``, ``end_date``, ``state`` and
-    ``job_id`` (see :func:`run_status`).  SOURCE_COUNT counts the landing rows
-    of the loaded partition, TARGET_COUNT the target table.  END_DATE_TIME is
-    the task's end time.
+def run_date(run_id: Column) -> Column:
+    """A run's execution date as the run log writes it, from the id ``<kind>__<date>T<time>+<offset>``."""
+    return S.before_first(F.replace(F.regexp_replace(run_id, "^.*?__", ""), F.lit("T"), F.lit(" ")), "+")
+
+
+def audit_rows(gate: DataFrame, partitions: DataFrame, source_counts: DataFrame, target_counts: DataFrame, runs: DataFrame,
+               run_id: str, cfg: LoadConfig = LoadConfig(), target_prefix: str = "staging.") -> DataFrame:
+    """One 12-column audit row per source of ``gate``, success or count-mismatch.
+
+    ``source_counts`` (source, source_n): landing rows of the loaded partition;
+    ``target_counts`` (source, target_n): rows of the target after the load.  The
+    times and the state are those of this run's load task, or of its do-not-load
+    task where the gate refused; END_DATE_TIME is the task's end time.
     """
-    src_n = landing.join(partitions.select(F.col("source").alias(SOURCE), "partition_value"), SOURCE) \
-        .where(S.date_text(PARTITION) == F.col("partition_value")) \
-        .groupBy(F.col(SOURCE).alias("source")).agg(F.count(F.lit(1)).alias("source_n"))
-    tgt_n = target.groupBy(F.col(SOURCE).alias("source")).agg(F.count(F.lit(1)).alias("target_n"))
-    df = J.lookup(gate, partitions, {"source": "source"}, {"partition_value": "partition_value"})
-    df = J.lookup(df, src_n, {"source": "source"}, {"source_n": "source_n"})
-    df = J.lookup(df, tgt_n, {"source": "source"}, {"target_n": "target_n"})
-    df = J.lookup(df, tasks, {"source": "source"},
-                  {"start_date": "start_date", "end_date": "end_date", "state": "state", "job_id": "job_id"})
+    now = run_status(runs).where((F.col("dag_id") == cfg.flow) & (F.col("execution_date") == run_date(F.lit(run_id))))
+    df = gate.withColumn("task_id", load_task(F.col("publish"), F.col("source"), cfg))
+    df = J.lookup(df, partitions, {"source": "source"}, {"partition_value": "partition_value"})
+    df = J.lookup(df, source_counts, {"source": "source"}, {"source_n": "source_n"})
+    df = J.lookup(df, target_counts, {"source": "source"}, {"target_n": "target_n"})
+    df = J.lookup(df, now, {"task_id": "task_id"}, {"start_date": "start_date", "end_date": "end_date", "state": "state"})
     ok = F.col("publish")
-    mismatch_log = F.concat(F.lit("ERROR : Staging Table Count "), F.col("published_n").cast("string"),
-                            F.lit(" is greater than Build table count "), F.col("build_n").cast("string"))
+    mismatch_log = F.concat(F.lit(MISMATCH_LOG[0]), F.col("published_n").cast("string"),
+                            F.lit(MISMATCH_LOG[1]), F.col("build_n").cast("string"))
     return df.select(
-        F.col("source").alias("SOURCE_TABLE_NAME"), F.lit(cfg.flow).alias("DAG_NAME"), run_id.alias("DAG_RUN_ID"),
-        F.when(ok, F.col("job_id")).otherwise(F.lit("Number of affected rows: 0")).alias("SCRIPT_LOG"),
+        F.col("source").alias("SOURCE_TABLE_NAME"), F.lit(cfg.flow).alias("DAG_NAME"), F.lit(run_id).alias("DAG_RUN_ID"),
+        F.when(ok, F.concat(F.lit(cfg.job_prefix), F.col("source"))).otherwise(F.lit(NOTHING_LOADED)).alias("SCRIPT_LOG"),
         F.col("start_date").alias("START_DATE_TIME"), F.col("end_date").alias("END_DATE_TIME"),
         F.concat(F.lit(target_prefix), F.col("source")).alias("TARGET_TABLE_NAME"),
         F.coalesce("source_n", F.lit(0)).alias("SOURCE_COUNT"), F.coalesce("target_n", F.lit(0)).alias("TARGET_COUNT"),
@@ -110,11 +144,21 @@ def audit_rows(gate: DataFrame, partitions: DataFrame, landing: DataFrame, targe
 
 
 # L06 / L07 / L08 ---------------------------------------------------------------------
-def run_status(runs: DataFrame) -> DataFrame:
-    """Start, end and state per (flow, task, run): the latest attempt of each task instance."""
+def run_status(runs: DataFrame, audit: DataFrame | None = None, cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    """Start, end and state per (flow, task, run): the latest attempt of each task instance.
+
+    With ``audit``: those of each audit row's load (or do-not-load) task in its run,
+    NULL where the run log has none.
+    """
     r = runs.withColumn("execution_date", S.before_first("execution_date", "+"))
-    return A.latest(r, ["dag_id", "task_id", "execution_date"], "start_date") \
+    status = A.latest(r, ["dag_id", "task_id", "execution_date"], "start_date") \
         .select("dag_id", "task_id", "execution_date", "start_date", "end_date", "state")
+    if audit is None:
+        return status
+    a = audit.select(F.col("SOURCE_TABLE_NAME").alias("source"), F.col("DAG_NAME").alias("dag_id"), F.col("DAG_RUN_ID").alias("run_id"),
+                     load_task(~F.col("SCRIPT_LOG").eqNullSafe(NOTHING_LOADED), F.col("SOURCE_TABLE_NAME"), cfg).alias("task_id"),
+                     run_date(F.col("DAG_RUN_ID")).alias("execution_date"))
+    return a.join(status, ["dag_id", "task_id", "execution_date"], "left")
 
 
 def failed_count(runs: DataFrame) -> DataFrame:
@@ -153,3 +197,92 @@ def previous_run_gate(runs: DataFrame) -> DataFrame:
         .otherwise(F.lit(1)).alias("poll"),
         F.when(F.col("__prev").isNull(), F.lit("File is being processed for the first time")).otherwise(log)
         .alias("log"))
+
+
+# The load, end to end -----------------------------------------------------------------
+class StagedLoad:
+    """A load of all sources into the tables under ``root``, restartable by its run id.
+
+    ``published`` and every run's ``build`` are Parquet tables partitioned by source,
+    ``audit`` is partitioned by run.  Publishing replaces the partitions of the gated
+    sources alone (dynamic partition overwrite), so the others' rows are neither read
+    nor moved, and doing it again gives the same table.  So does the audit, which
+    replaces the run's own partition.  What later steps depend on (next partitions,
+    build, gate, counts) is written once a run under ``runs/<run id>``; a run called
+    again reads the committed steps back, above all the gate, which would refuse a
+    build that is already published.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, cfg: LoadConfig = LoadConfig()):
+        self.spark, self.root, self.cfg = spark, root.rstrip("/"), cfg
+
+    # -- tables ------------------------------------------------------------------------
+    def published(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/published")
+
+    def audit(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/audit").select(*AUDIT_COLUMNS)
+
+    def seed(self, published: DataFrame, audit: DataFrame) -> None:
+        """First content of the tables, from those of an earlier system."""
+        published.write.mode("errorifexists").partitionBy(SOURCE).parquet(f"{self.root}/published")
+        audit.select(*AUDIT_COLUMNS).write.mode("errorifexists").partitionBy("DAG_RUN_ID").parquet(f"{self.root}/audit")
+
+    # -- steps -------------------------------------------------------------------------
+    def committed(self, path: str) -> bool:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+    def step(self, run_id: str, name: str, make: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+        """The rows of a step: read back if the run has committed it, else made and written.
+
+        A partitioned step without rows has no file to take a schema from, so it has
+        that of ``make()``, which must be lazy then.
+        """
+        path = f"{self.root}/runs/{run_id.replace(':', '-')}/{name}"
+        df = make() if by or not self.committed(path) else None
+        if not self.committed(path):
+            writer = df.write.mode("overwrite")
+            (writer.partitionBy(by) if by else writer).parquet(path)
+        return (self.spark.read.schema(df.schema) if by else self.spark.read).parquet(path)
+
+    def replace_partitions(self, df: DataFrame, table: str, by: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{self.root}/{table}")
+
+    # -- the chain ---------------------------------------------------------------------
+    def run(self, landing: DataFrame, runs: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame], run_id: str) -> DataFrame:
+        """Load every source with a new partition; the audit rows of this run.
+
+        ``build(partitions, rows)`` makes the new content of the sources in
+        ``partitions`` (source, partition_value), given the landing rows of those
+        partitions.  Sources without a new partition (the sentinel) are neither built
+        nor gated, and leave no audit row.
+        """
+        cfg, source = self.cfg, F.col(SOURCE).alias("source")
+        parts = self.step(run_id, "partitions", lambda: next_partition(landing, self.audit(), cfg))
+        todo = parts.where(F.col("partition_value") != cfg.sentinel)
+        fresh = partition_rows(landing, parts, cfg)
+        sources = J.bounded_broadcast(todo.select(F.col("source").alias(SOURCE)))
+        built = self.step(run_id, "build", lambda: build(todo, fresh).join(sources, SOURCE, "left_semi"), by=SOURCE)
+        gate = self.step(run_id, "gate", lambda: count_gate(built, self.published().join(sources, SOURCE, "left_semi")))
+        go = J.bounded_broadcast(gate.where("publish").select(F.col("source").alias(SOURCE)))
+
+        def publish_and_count() -> DataFrame:
+            self.publish(built.join(go, SOURCE, "left_semi"))
+            return self.published().join(sources, SOURCE, "left_semi").groupBy(source).agg(F.count(F.lit(1)).alias("target_n"))
+
+        target = self.step(run_id, "target_counts", publish_and_count)
+        counted = fresh.groupBy(source).agg(F.count(F.lit(1)).alias("source_n"))
+        rows = self.step(run_id, "audit", lambda: audit_rows(gate, parts, counted, target, runs, run_id, cfg))
+        self.replace_partitions(rows, "audit", "DAG_RUN_ID")
+        return rows
+
+    def publish(self, rows: DataFrame) -> None:
+        """S06 of the gated sources."""
+        self.replace_partitions(rows, "published", SOURCE)
+
+
+def run_load(spark: SparkSession, root: str, landing: DataFrame, runs: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame],
+             run_id: str, cfg: LoadConfig = LoadConfig()) -> DataFrame:
+    """One staged load of all sources (see ``StagedLoad``); the audit rows of the run."""
+    return StagedLoad(spark, root, cfg).run(landing, runs, build, run_id)

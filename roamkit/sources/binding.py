@@ -446,7 +446,7 @@ from {d.t('events')}"""
 def _load_audit(d: Dialect) -> str:
     return f"""
 select source_table_name as SOURCE_TABLE_NAME, 'staging_load' as DAG_NAME,
-       'scheduled__' || cast(partition_year_month_day as string) as DAG_RUN_ID,
+       'scheduled__' || cast(partition_year_month_day as string) || 'T23:00:00+00:00' as DAG_RUN_ID,
        'job_' || source_table_name as SCRIPT_LOG,
        cast(partition_year_month_day as string) || ' 23:00:00' as START_DATE_TIME,
        cast(partition_year_month_day as string) || ' 23:30:00' as END_DATE_TIME,
@@ -470,7 +470,12 @@ select 'load_' || event_type as dag_id,
        {d.ts_text('ts')} as start_date,
        {d.ts_text('ts')} as end_date,
        case when value < 3 then 'failed' when value < 6 then 'running' when value < 8 then 'queued' else 'success' end as state
-from {d.t('events')}"""
+from {d.t('events')}
+union all
+select 'staging_load' as dag_id, case when value < 10 then 'do_not_load_' else 'load_data_' end || event_type as task_id,
+       cast(cast(ts as date) as string) || ' 23:00:00+00:00' as execution_date,
+       {d.ts_text('min(ts)')} as start_date, {d.ts_text('max(ts)')} as end_date, 'success' as state
+from {d.t('events')} group by event_type, cast(ts as date), case when value < 10 then 'do_not_load_' else 'load_data_' end"""
 
 
 # name -> (builder, dependencies)

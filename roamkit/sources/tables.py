@@ -1,18 +1,19 @@
 """Table reads and writes.
 
-Replaced tables are *versioned*: every replace writes a fresh directory
-``<root>/<name>/v<time>-<id>`` and the table's current version is the newest
-committed one (Spark's ``_SUCCESS`` marker is written at job commit).  A
-rebuild therefore never overwrites files that the same job is reading, a
-failed write leaves the old version current, and a previous-run snapshot is a
-small reference file to the version it copies - no data is copied.
+A replace writes a fresh directory ``<root>/<name>/v<number>-<id>``, numbered one
+above those there, and the table is the last committed one (Spark's ``_SUCCESS``
+marker is written at job commit).  So a rebuild never overwrites files that the
+same job is reading, a failed write leaves the old content current, and a
+previous-run snapshot is a small reference file (written aside, then renamed) to
+the directory it stands for.  ``vacuum`` deletes what is neither current nor
+referred to.  An append is keyed by its run: it replaces the run's partition, so
+a retried append leaves the rows once.
 Storage is whatever filesystem the root lives on (the cluster's shared
 ``spark.checkpoint.dir`` by default), reached through Hadoop's FileSystem API.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping
 
@@ -23,6 +24,10 @@ from roamkit.operators.sets import literal_row  # noqa: F401  (S07 lives with th
 from roamkit.session import checkpoint_dir
 
 
+#: Column of a ledger that says which run added a row; it is the partition column and not part of the rows.
+RUN = "_run"
+
+
 def read_table(spark: SparkSession, name: str, locations: Mapping[str, str] | None = None) -> DataFrame:
     """A named table: a configured Parquet location, else the session catalog."""
     if locations and name in locations:
@@ -59,18 +64,23 @@ class TableStore:
         versions = self._versions(name)
         if not versions:
             return None
-        v = versions[-1]
-        if v.endswith(".ref"):
-            stream = self._fs.open(self._p(name, v))
-            try:
-                return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-            finally:
-                stream.close()
-        return "/".join([self.root, name, v])
-
-    @staticmethod
-    def _new_version() -> str:
-        return f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        return self._path(name, versions[-1])
+
+    def _path(self, name: str, version: str) -> str:
+        if not version.endswith(".ref"):
+            return "/".join([self.root, name, version])
+        stream = self._fs.open(self._p(name, version))
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def _new_version(self, name: str) -> str:
+        """One above every directory and reference there is, committed or not."""
+        d = self._p(name)
+        names = [st.getPath().getName() for st in self._fs.listStatus(d)] if self._fs.exists(d) else []
+        last = max((int(n[1:].split("-")[0]) for n in names if n.startswith("v")), default=0)
+        return f"v{last + 1:020d}-{uuid.uuid4().hex[:8]}"
 
     # -- S01 / S02 / S03 -----------------------------------------------------
     def exists(self, name: str) -> bool:
@@ -84,7 +94,7 @@ class TableStore:
 
     def replace(self, df: DataFrame, name: str) -> DataFrame:
         """Create-or-replace ``name`` as ``df``; returns the new version."""
-        path = "/".join([self.root, name, self._new_version()])
+        path = "/".join([self.root, name, self._new_version(name)])
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -98,21 +108,45 @@ class TableStore:
         if src is None:
             return None
         target = to or f"{name}_prev"
-        ref = self._p(target, self._new_version() + ".ref")
-        out = self._fs.create(ref, False)
+        ref = self._new_version(target) + ".ref"
+        aside = self._p(target, f".{ref}")
+        out = self._fs.create(aside, False)
         try:
             out.write(bytearray(src.encode("utf-8")))
         finally:
             out.close()
+        self._fs.rename(aside, self._p(target, ref))
         return self.spark.read.parquet(src)
 
+    def vacuum(self, names: list[str]) -> list[str]:
+        """Delete what is no longer current of ``names``; returns the deleted paths.
+
+        Kept are each table's current directory and those that the current reference
+        of any table under the root points to.  Call it when no job reads old content.
+        """
+        tables = [st.getPath().getName() for st in self._fs.listStatus(self._p())] if self._fs.exists(self._p()) else []
+        kept = {path for t in tables if (path := self.current_path(t))}
+        gone = []
+        for name in names:
+            current = (self._versions(name) or [None])[-1]
+            number = lambda v: int(v[1:].split("-")[0])
+            entries = self._fs.listStatus(self._p(name)) if self._fs.exists(self._p(name)) else []
+            for n in [st.getPath().getName() for st in entries]:
+                path = "/".join([self.root, name, n])
+                old = n.startswith("v") and current is not None and n != current and number(n) < number(current)
+                if old and path not in kept:
+                    self._fs.delete(self._p(name, n), True)
+                    gone.append(path)
+        return gone
+
     # -- S04 / S05 / S06 -----------------------------------------------------
-    def append(self, df: DataFrame, name: str) -> None:
-        """Append rows to an append-only table (one atomic job commit)."""
-        df.write.mode("append").parquet("/".join([self.root, name, "data"]))
+    def append(self, df: DataFrame, name: str, run_id: str) -> None:
+        """Add the rows of a run to a ledger; the same run again replaces them."""
+        df.withColumn(RUN, F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(RUN).parquet("/".join([self.root, name, "data"]))
 
     def read_appended(self, name: str) -> DataFrame:
-        return self.spark.read.parquet("/".join([self.root, name, "data"]))
+        return self.spark.read.parquet("/".join([self.root, name, "data"])).drop(RUN)
 
     def publish(self, name: str, build_suffix: str = "_t01") -> DataFrame:
         """Replace ``name`` with its build table ``<name>_t01``."""

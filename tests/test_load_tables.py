@@ -87,14 +87,29 @@ def test_table_store_versions_and_snapshot(spark, tmp_path):
     assert rows(st.read("t")) == [(2,), (3,)]
     assert rows(st.read("t_prev")) == [(1,)]
     # an uncommitted (failed) write is never current
-    (tmp_path / "store" / "t" / "v99999999999999999999-dead").mkdir()
+    (tmp_path / "store" / "t" / "v00000000000000000099-dead").mkdir()
     assert rows(st.read("t")) == [(2,), (3,)]
     st.replace(spark.createDataFrame([(5,)], "x int"), "t_t01")
     st.publish("t")
     assert rows(st.read("t")) == [(5,)]
-    st.append(spark.createDataFrame([(1,)], "x int"), "ledger")
-    st.append(spark.createDataFrame([(2,)], "x int"), "ledger")
+    st.append(spark.createDataFrame([(1,)], "x int"), "ledger", "run1")
+    st.append(spark.createDataFrame([(2,)], "x int"), "ledger", "run2")
     assert rows(st.read_appended("ledger")) == [(1,), (2,)]
+    st.append(spark.createDataFrame([(2,)], "x int"), "ledger", "run2")  # a retry
+    assert rows(st.read_appended("ledger")) == [(1,), (2,)]
+
+
+def test_vacuum_keeps_current_and_referred(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "store"))
+    for k in range(3):
+        st.replace(spark.createDataFrame([(k,)], "x int"), "t")
+        if k == 1:
+            st.snapshot("t")
+    assert len(st.vacuum(["t", "t_prev", "none"])) == 1
+    assert rows(st.read("t")) == [(2,)] and rows(st.read("t_prev")) == [(1,)]
+    st.snapshot("t")
+    assert len(st.vacuum(["t", "t_prev"])) == 2  # the old reference and what it stood for
+    assert rows(st.read("t_prev")) == [(2,)]
 
 
 def test_read_partition_prunes(spark, tmp_path):
@@ -152,3 +167,130 @@ def test_only_other_states_give_no_default_row(spark):
     runs = spark.createDataFrame([("f", "t", "2024-01-02 00:00:00+00:00", "s", "e", "queued")], RUNS)
     assert _gate_or_default(spark, runs, "f", "2024-01-05").collect() == []
     assert [r["poll"] for r in _gate_or_default(spark, runs, "f", "2024-01-01").collect()] == [1]
+
+
+class Crash(Exception):
+    pass
+
+
+class Dying(L.StagedLoad):
+    """A load that dies right before or after the write of one of its steps."""
+
+    at, after = None, False
+
+    def step(self, run_id, name, make, by=None):
+        if name == self.at and not self.after:
+            raise Crash(name)
+        out = super().step(run_id, name, make, by)
+        if name == self.at:
+            raise Crash(name)
+        return out
+
+    def publish(self, rows):
+        if self.at == "publish" and not self.after:
+            raise Crash("publish")
+        super().publish(rows)
+        if self.at == "publish":
+            raise Crash("publish")
+
+    def replace_partitions(self, df, table, by):
+        super().replace_partitions(df, table, by)
+        if self.at == "ledger" and table == "audit":
+            raise Crash("ledger")
+
+
+RUN = "scheduled__2024-01-03T23:00:00+00:00"
+
+
+def _load_inputs(spark):
+    land = spark.createDataFrame([("a", D(2024, 1, 1), 1), ("a", D(2024, 1, 3), 2), ("a", D(2024, 1, 3), 3), ("b", D(2024, 1, 3), 4), ("c", D(2024, 1, 1), 5)],
+                                 "source_table_name string, partition_year_month_day date, x int")
+    published = land.where("partition_year_month_day < '2024-01-03' or source_table_name = 'b'")
+    old = [("a", "old", "scheduled__2024-01-01T23:00:00+00:00", "job_a", "s", "e", "staging.a", 1, 1, "success", "ok", "2024-01-01"),
+           ("c", "old", "scheduled__2024-01-01T23:00:00+00:00", "job_c", "s", "e", "staging.c", 1, 1, "success", "ok", "2024-01-01")]
+    audit = spark.createDataFrame(old, ", ".join(f"{c} {'long' if c.endswith('COUNT') else 'string'}" for c in L.AUDIT_COLUMNS))
+    runs = spark.createDataFrame([("staging_load", task, "2024-01-03 23:00:00+00:00", start, start + "!", state) for task, start, state in
+                                  [("load_data_a", "10", "failed"), ("load_data_a", "11", "success"), ("do_not_load_a", "12", "success"), ("do_not_load_b", "13", "success")]]
+                                 + [("staging_load", "load_data_a", "2024-01-04 23:00:00+00:00", "99", "99", "success")], RUNS)
+    return land, published, audit, runs
+
+
+def _load(spark, root, kind=L.StagedLoad, at=None, after=False, run_id=RUN):
+    land, _, _, runs = _load_inputs(spark)
+    load = kind(spark, str(root))
+    load.at, load.after = at, after
+    load.run(land, runs, lambda parts, fresh: land, run_id)
+    return load
+
+
+def test_staged_load(spark, tmp_path):
+    _, published, audit, _ = _load_inputs(spark)
+    L.StagedLoad(spark, str(tmp_path)).seed(published, audit)
+    load = _load(spark, tmp_path)
+    want_audit = [("a", "staging_load", RUN, "job_a", "11", "11!", "staging.a", 2, 3, "success", "Data is successfully loaded in staging", "2024-01-03"),
+                  ("b", "staging_load", RUN, "Number of affected rows: 0", "13", "13!", "staging.b", 1, 1, "failed",
+                   "ERROR : Staging Table Count 1 is greater than Build table count 1", "2024-01-03")]
+    assert rows(load.audit().where(F.col("DAG_RUN_ID") == RUN), *L.AUDIT_COLUMNS) == want_audit
+    assert rows(load.published(), "source_table_name", "x") == [("a", 1), ("a", 2), ("a", 3), ("b", 4), ("c", 5)]
+    # the same run again changes nothing; a later run finds only the sentinel: nothing built, published or audited
+    for run_id in (RUN, "scheduled__2024-01-04T23:00:00+00:00"):
+        again = _load(spark, tmp_path, run_id=run_id)
+        assert rows(again.audit()) == rows(load.audit()) and again.audit().count() == 4
+        assert rows(again.published(), "x") == [(1,), (2,), (3,), (4,), (5,)]
+    assert {v for _, v in rows(L.next_partition(_load_inputs(spark)[0], load.audit()))} == {"9999-12-31"}
+
+
+@pytest.fixture(scope="module")
+def whole_load(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("whole")
+    _, published, audit, _ = _load_inputs(spark)
+    L.StagedLoad(spark, str(root)).seed(published, audit)
+    load = _load(spark, root)
+    return rows(load.published()), rows(load.audit())
+
+
+@pytest.mark.parametrize("at,after", [("partitions", True), ("build", True), ("gate", False), ("gate", True), ("publish", False),
+                                      ("publish", True), ("target_counts", True), ("audit", True), ("ledger", True)])
+def test_staged_load_goes_on_after_a_crash(spark, tmp_path, whole_load, at, after):
+    _, published, audit, _ = _load_inputs(spark)
+    L.StagedLoad(spark, str(tmp_path)).seed(published, audit)
+    with pytest.raises(Crash):
+        _load(spark, tmp_path, Dying, at, after)
+    load = _load(spark, tmp_path)
+    assert (rows(load.published()), rows(load.audit())) == whole_load
+
+
+def test_partition_rows_prunes_at_run_time(spark, tmp_path):
+    days = [D(2024, 1, k) for k in range(1, 21)]
+    spark.createDataFrame([(s, d, 1) for s in "ab" for d in days], "source_table_name string, partition_year_month_day date, x int") \
+        .repartition("partition_year_month_day").write.partitionBy("partition_year_month_day").parquet(str(tmp_path / "landing"))
+    parts = spark.createDataFrame([("a", "2024-01-20"), ("b", "9999-12-31")], "source string, partition_value string")
+    parts.write.parquet(str(tmp_path / "parts"))
+    got = L.partition_rows(spark.read.parquet(str(tmp_path / "landing")), spark.read.parquet(str(tmp_path / "parts")))
+    assert [tuple(r) for r in got.select("source_table_name", "partition_year_month_day").collect()] == [("a", D(2024, 1, 20))]
+    assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+    files = []
+
+    def visit(p):
+        name = p.getClass().getSimpleName()
+        if name == "FileSourceScanExec" and "partition_year_month_day" in p.toString():
+            files.append(p.metrics().apply("numFiles").value())
+        children = p.children()
+        for k in range(children.size()):
+            visit(children.apply(k))
+        if name == "AdaptiveSparkPlanExec":
+            visit(p.executedPlan())
+        if name.endswith("QueryStageExec"):
+            visit(p.plan())
+
+    got.collect()
+    visit(got._jdf.queryExecution().executedPlan())
+    assert files == [1]  # of 20
+
+
+def test_run_status_of_audit_rows(spark):
+    _, _, audit, runs = _load_inputs(spark)
+    rows_ = audit.withColumn("DAG_NAME", F.lit("staging_load")).withColumn("DAG_RUN_ID", F.lit(RUN))
+    rows_ = rows_.withColumn("SCRIPT_LOG", F.when(F.col("SOURCE_TABLE_NAME") == "a", F.lit(L.NOTHING_LOADED)).otherwise(F.col("SCRIPT_LOG")))
+    assert rows(L.run_status(runs, rows_), "source", "task_id", "execution_date", "start_date", "end_date", "state") == [
+        ("a", "do_not_load_a", "2024-01-03 23:00:00", "12", "12!", "success"), ("c", "load_data_c", "2024-01-03 23:00:00", None, None, None)]
