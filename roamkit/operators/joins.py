@@ -123,29 +123,50 @@ def operator_country(operator: DataFrame, country: DataFrame) -> DataFrame:
 
 
 # J08 / J09 -----------------------------------------------------------------------
+def _window_shape(w: DataFrame) -> DataFrame:
+    """One row: ``__lo`` and ``__hi``, to which days are clipped, and ``__width`` of a bucket.
+
+    Before the first end no window has ended and after the last start none begins, so
+    days beyond are alike and windows without an end don't stretch the index.  A bucket
+    is as wide as the mean window: windows then touch three buckets on average at most,
+    whatever their mix of lengths.
+    """
+    ends = w.agg((F.min("__e") - 1).alias("__lo"), (F.max("__s") + 1).alias("__hi"))
+    length = _clipped("__e") - _clipped("__s") + 1
+    return with_scalar(w, ends).groupBy("__lo", "__hi").agg(F.ceil(F.avg(length)).alias("__width"))
+
+
+def _clipped(day: str) -> Column:
+    return F.least(F.greatest(F.col(day), F.col("__lo")), F.col("__hi"))
+
+
+def _bucket(day: str) -> Column:
+    return F.floor(_clipped(day) / F.col("__width"))
+
+
 def as_valid_join(fact: DataFrame, windows: DataFrame, date_col: str, start: str, end: str,
                   columns: Mapping[str, str], how: str = "left") -> DataFrame:
     """Join each fact row to the windows with ``start <= date <= end``.
 
-    Instead of a nested-loop join, every window is listed once per calendar
-    month it touches and the join is an equi-join on the month bucket plus the
-    range test.  Each fact date falls in exactly one bucket, so overlapping
-    windows fan out exactly as the range join does, and no window is repeated.
-    Windows are first clipped to the facts' own date range (one min/max row),
-    so an open-ended window (``end = 9999-12-31``) lists only the months that
-    facts can fall in.
+    Instead of a nested-loop join, every window is listed once per bucket of days it
+    touches and the join is an equi-join on the bucket plus the range test.  Each fact
+    date falls in exactly one bucket, so overlapping windows fan out exactly as the
+    range join does, and no window is repeated.  The buckets come from the windows
+    alone (see ``_window_shape``), so the facts are read once; the listing holds at
+    most four times the windows' rows, and counts so for the broadcast limit.
     """
-    bounds = fact.agg(F.min(date_col).alias("__lo"), F.max(date_col).alias("__hi"))
-    w = with_scalar(windows.where(F.col(start) <= F.col(end)), bounds) \
-        .where((F.col(end) >= F.col("__lo")) & (F.col(start) <= F.col("__hi")))
-    months = F.sequence(F.trunc(F.greatest(F.col(start), F.col("__lo")), "month"),
-                        F.trunc(F.least(F.col(end), F.col("__hi")), "month"), F.expr("interval 1 month"))
-    w = w.select(F.explode(months).alias("__bucket"), F.col(start).alias("__vw_start"), F.col(end).alias("__vw_end"),
-                 *[F.col(c).alias(o) for o, c in columns.items()])
-    w = bounded_broadcast(w)
-    f = fact.withColumn("__fbucket", F.trunc(F.col(date_col), "month"))
-    cond = (f["__fbucket"] == w["__bucket"]) & (f[date_col] >= w["__vw_start"]) & (f[date_col] <= w["__vw_end"])
-    return f.join(w, cond, how).drop("__fbucket", "__bucket", "__vw_start", "__vw_end")
+    day = lambda c: F.unix_date(F.to_date(F.col(c)))
+    w = windows.where(F.col(start) <= F.col(end)).select(
+        day(start).alias("__s"), day(end).alias("__e"), F.col(start).alias("__vw_start"), F.col(end).alias("__vw_end"),
+        *[F.col(c).alias(o) for o, c in columns.items()])
+    shape = _window_shape(w)
+    listed = with_scalar(w, shape).withColumn("__bucket", F.explode(F.sequence(_bucket("__s"), _bucket("__e")))) \
+        .drop("__s", "__e", "__lo", "__hi", "__width")
+    listed = F.broadcast(listed) if 4 * estimated_bytes(w) <= BROADCAST_LIMIT else listed
+    f = attach_one(fact.withColumn("__day", day(date_col)), shape).withColumn("__fbucket", _bucket("__day")) \
+        .drop("__day", "__lo", "__hi", "__width")
+    cond = (f["__fbucket"] == listed["__bucket"]) & (f[date_col] >= listed["__vw_start"]) & (f[date_col] <= listed["__vw_end"])
+    return f.join(listed, cond, how).drop("__fbucket", "__bucket", "__vw_start", "__vw_end")
 
 
 def assign_period(df: DataFrame, periods: DataFrame, date_col: str, start: str, end: str,
@@ -164,6 +185,11 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
+def attach_one(df: DataFrame, at_most_one: DataFrame) -> DataFrame:
+    """``with_scalar`` for a row that may be missing: every row of ``df`` stays, with NULLs then."""
+    return df.join(F.broadcast(at_most_one), F.lit(True), "left")
+
+
 # J11 -------------------------------------------------------------------------------
 def period_over_period(df: DataFrame, keys: Sequence[str], date_col: str, columns: Mapping[str, str],
                        months: int = 1, earlier: DataFrame | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,8 +118,34 @@ def rate_table(rate_card: DataFrame, cfg: ValuedConfig) -> DataFrame:
     return U.cutover(actual, "call_year_month", cfg.cutover_month, "src_tadig", cfg.cutover_excluded, as_text=True)
 
 
+RATE_KEYS = ("dst_tadig", "src_tadig", "call_type")
+
+
+def asof_rates(rates: DataFrame, rate_col: str, months: tuple[int, int]) -> DataFrame:
+    """Per key and calendar month (``yyyymm``, first and last included): that month's rate and the key's latest one.
+
+    ``x_rate``, ``x_month``: of the month itself, NULL without one; ``l_rate``,
+    ``l_month``: of the latest month that the key has.  A key without rates has no
+    row; months listed twice in the rate card fan out as two look-ups would.  The table
+    has keys x months rows, however large the usage.
+    """
+    entries, last = _rate_rows(rates, rate_col)
+    day = lambda m: F.to_date(F.lit(str(m)), "yyyyMM")
+    calendar = F.transform(F.sequence(day(months[0]), day(months[1]), F.expr("interval 1 month")), S.yyyymm)
+    return last.withColumn("month", F.explode(calendar)).join(entries, [*RATE_KEYS, "month"], "left")
+
+
+def _rate_rows(rates: DataFrame, rate_col: str) -> tuple[DataFrame, DataFrame]:
+    """Each month's rates of each key, and those of the key's latest month."""
+    rows = rates.dropna(subset=list(RATE_KEYS))
+    rate, month = F.col(rate_col).cast("double"), F.col("call_year_month")
+    entries = rows.select(*RATE_KEYS, month.cast("bigint").alias("month"), month.alias("x_month"), rate.alias("x_rate"))
+    return entries, A.latest(rows.select(*RATE_KEYS, month.alias("l_month"), rate.alias("l_rate")), list(RATE_KEYS), "l_month")
+
+
 def rate_lookup(usage: DataFrame, rates: DataFrame, rate_col: str, isr: Column, fallback_months: int = 3,
-                month_as_text: bool = True) -> DataFrame:
+                month_as_text: bool = True, months: tuple[int, int] | None = None,
+                stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Add ``iot_rate`` and ``iot_call_year_month`` to usage rows.
 
     Exact month rate; when that rate is NULL (no row, or a NULL rate), the
@@ -127,34 +153,33 @@ def rate_lookup(usage: DataFrame, rates: DataFrame, rate_col: str, isr: Column,
     be later than the call - unless it is more than ``fallback_months`` older
     than the call.  ISR traffic has no rate.
 
-    Both look-ups are served by one equi-join on (partner, home, call type):
-    the rate card is first folded to one row per key holding that key's month
-    entries (bounded by the calendar: one per month of rate history) and its
-    latest month.  The usage side is therefore shuffled at most once (not at
-    all when the folded card is small enough to broadcast).  Duplicate month
-    rows still fan out, as two separate joins would.
+    With ``months`` (``yyyymm`` bounds of the usage's months, both included), rates are
+    carried into a table of (key, month) once, at the size of the rate card, and the
+    usage has one equi-join on partner, home, call type and month; ``stage`` writes that
+    table first, so that its measured size decides on a broadcast.  Without, the month's
+    rate and the key's latest one are two equi-joins.
     """
-    keys = ["dst_tadig", "src_tadig", "call_type"]
-    entry = F.struct(F.col("call_year_month").cast("bigint").alias("m"), F.col("call_year_month").alias("t"),
-                     F.col(rate_col).cast("double").alias("r"))
-    folded = rates.groupBy(*keys).agg(F.collect_list(entry).alias("__months"),
-                                      F.max("call_year_month").alias("__top"))
-    out = J.lookup(usage, folded, {"their_pmn_tadig_code": "dst_tadig", "my_pmn_tadig_code": "src_tadig",
-                                   "call_type": "call_type"}, {"__months": "__months", "__top": "__top"})
-    month = F.col("call_month")
-    out = out.withColumn("__x", F.explode_outer(F.filter("__months", lambda e: e["m"] == month)))
-    out = out.withColumn("__l", F.explode_outer(F.filter("__months", lambda e: e["t"].eqNullSafe(F.col("__top")))))
-    x_rate, x_month = F.col("__x.r"), F.col("__x.t")
-    l_rate, l_month = F.col("__l.r"), F.col("__l.t")
-    too_old = l_month.cast("bigint") < S.yyyymm(F.add_months(F.col("call_date"), -fallback_months))
-    fb_rate = F.when(too_old, F.lit(None)).otherwise(l_rate)
-    fb_month = F.when(too_old, F.lit(None)).otherwise(l_month)
-    rate = F.when(isr, F.lit(None)).otherwise(F.when(x_rate.isNull(), fb_rate).otherwise(x_rate))
-    month_out = F.when(isr, F.lit(None)).otherwise(F.when(x_rate.isNull(), fb_month).otherwise(x_month))
-    if not month_as_text:
-        month_out = month_out.cast("bigint")
-    return (out.withColumn("iot_rate", rate.cast("double")).withColumn("iot_call_year_month", month_out)
-            .drop("__months", "__top", "__x", "__l"))
+    key = {"their_pmn_tadig_code": "dst_tadig", "my_pmn_tadig_code": "src_tadig", "call_type": "call_type"}
+    exact_cols, last_cols = {"__x_rate": "x_rate", "__x_month": "x_month"}, {"__l_rate": "l_rate", "__l_month": "l_month"}
+    found = exact_cols | last_cols
+    if months is None:
+        entries, last = _rate_rows(rates, rate_col)
+        out = J.lookup(J.lookup(usage, entries, key | {"call_month": "month"}, exact_cols), last, key, last_cols)
+    else:
+        table = asof_rates(rates, rate_col, months)
+        out = J.lookup(usage, stage(table, "asof_rates") if stage else table, key | {"call_month": "month"}, found)
+    too_old = F.col("__l_month").cast("bigint") < S.yyyymm(F.add_months(F.col("call_date"), -fallback_months))
+    exact = F.col("__x_rate").isNotNull()
+    rate = F.when(isr, F.lit(None)).when(exact, F.col("__x_rate")).when(too_old, F.lit(None)).otherwise(F.col("__l_rate"))
+    month = F.when(isr, F.lit(None)).when(exact, F.col("__x_month")).when(too_old, F.lit(None)).otherwise(F.col("__l_month"))
+    return (out.withColumn("iot_rate", rate.cast("double"))
+            .withColumn("iot_call_year_month", month if month_as_text else month.cast("bigint")).drop(*found))
+
+
+def months_until(since: dt.date, as_of: dt.date | str | None) -> tuple[int, int]:
+    """The months (``yyyymm``) from that of ``since`` to that of the run date."""
+    last = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of or dt.date.today()
+    return since.year * 100 + since.month, last.year * 100 + last.month
 
 
 # M09 ---------------------------------------------------------------------------

@@ -79,3 +79,22 @@ def latest_or_default(df: DataFrame, order: str, default: DataFrame, given: Data
 def latest_row(df: DataFrame, order: str) -> DataFrame:
     """``order by order desc limit 1`` (a TakeOrderedAndProject: per-task top-1, then one merge)."""
     return df.orderBy(F.col(order).desc()).limit(1)
+
+
+def latest_row_per(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str]) -> DataFrame:
+    """``latest_row`` of every key: one row each, ties broken by ``ties`` ascending.
+
+    A partial aggregate: the greatest (order, ties) struct a key, so no key's rows meet in one task.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in ties]))
+    top = df.groupBy(*keys, order).agg(first.alias("__row"))  # one row a key and order value
+    best = top.groupBy(*keys).agg(F.max_by("__row", order).alias("__row"))
+    return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+def latest_or_default_per(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], default: DataFrame, given: DataFrame) -> DataFrame:
+    """``latest_or_default`` of every key; ``default`` has the row of each key that ``given`` lacks."""
+    top = latest_row_per(df, keys, order, ties)
+    known = given.select(*keys).distinct()
+    return top.unionByName(default.join(known, list(keys), "left_anti"))

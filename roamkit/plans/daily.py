@@ -76,8 +76,8 @@ def build_reports(tables: Mapping[str, DataFrame], store: TableStore, settings:
     if "c04" in wanted:
         put("c04", C.service_openings_extended(tables, out["c02"], out["c03"], out["c01"], s.steering))
     simple = {
-        "c05": lambda: C.inbound_valued(tables, s.valued, as_of),
-        "c06": lambda: C.outbound_valued(tables, s.valued, as_of),
+        "c05": lambda: C.inbound_valued(tables, s.valued, as_of, store.replace),
+        "c06": lambda: C.outbound_valued(tables, s.valued, as_of, store.replace),
         "c07": lambda: C.steering_mtd(tables),
         "c08": lambda: C.monthly_counts(tables, s.monthly),
         "c09": lambda: C.contract_register(tables),

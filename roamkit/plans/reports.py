@@ -10,7 +10,7 @@ C01, C02 -> C03 -> C04.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from roamkit.operators import roaming as M
 from roamkit.operators import sets as U
 
 Tables = Mapping[str, DataFrame]
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
 # C01 -------------------------------------------------------------------------------
@@ -201,7 +202,7 @@ def service_openings_extended(t: Tables, steering: DataFrame, openings: DataFram
 
 # C05 / C06 ---------------------------------------------------------------------------
 def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: str,
-            dates: DataFrame | None = None) -> DataFrame:
+            dates: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
     """``dates``: a table with the same call dates as ``usage`` to take the latest
     settled date from (the raw rows of an aggregate: one column, no aggregation)."""
     biz = t["code_business"]
@@ -216,7 +217,7 @@ def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: st
     inbound = direction == "inbound"
     isr = (F.upper("b_traffic_type") == "ISR") | (F.upper("c_traffic_type") == "ISR")
     df = M.rate_lookup(df, M.rate_table(t["rate_card"], cfg), "curr_in_final_iot" if inbound else "curr_out_final_iot",
-                       isr, cfg.fallback_months, month_as_text=inbound)
+                       isr, cfg.fallback_months, month_as_text=inbound, months=M.months_until(cfg.history_floor, as_of), stage=stage)
     df = df.select(
         "*",
         S.initcap("b_country").alias("my_pmn_country"),
@@ -245,16 +246,18 @@ OUTBOUND_MEASURES = ("total_real_volume_mb", "real_duration_minutes", "total_cha
                      "charged_duration_minutes", "total_charges_local_currency")
 
 
-def inbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date | str | None = None) -> DataFrame:
+def inbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date | str | None = None,
+                   stage: Stage | None = None) -> DataFrame:
     """Inbound aggregate classified and valued with the rate card (revenue), plus region."""
-    df = _valued(t["inbound_aggregate"], t, cfg, as_of, "inbound").select(*INBOUND_COLUMNS)
+    df = _valued(t["inbound_aggregate"], t, cfg, as_of, "inbound", stage=stage).select(*INBOUND_COLUMNS)
     return J.lookup(df, t["code_business"], {"their_pmn_tadig_code": "tadig"}, {"region": "region"})
 
 
-def outbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date | str | None = None) -> DataFrame:
+def outbound_valued(t: Tables, cfg: ValuedConfig = ValuedConfig(), as_of: dt.date | str | None = None,
+                    stage: Stage | None = None) -> DataFrame:
     """Outbound usage summed, classified and valued (cost), spliced onto frozen history."""
     agg = A.group_sum(t["outbound_usage"], OUTBOUND_KEYS, OUTBOUND_MEASURES)
-    live = _valued(agg, t, cfg, as_of, "outbound", dates=t["outbound_usage"]).select(*OUTBOUND_COLUMNS)
+    live = _valued(agg, t, cfg, as_of, "outbound", dates=t["outbound_usage"], stage=stage).select(*OUTBOUND_COLUMNS)
     hist = t["outbound_history"].withColumn("iot_call_year_month", F.col("iot_call_year_month").cast("bigint"))
     code = F.col("my_pmn_tadig_code")
     # The two live branches (other codes; the frozen code after its history

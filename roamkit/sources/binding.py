@@ -160,12 +160,11 @@ select dst_tadig, src_tadig, call_year_month, call_type, traffic_type,
 from (
   select their_pmn_tadig_code as dst_tadig, my_pmn_tadig_code as src_tadig,
          cast(call_month as string) as call_year_month, call_type,
-         case when month(call_date) in (3, 6, 9, 12) then 'Actual' else 'Budget' end as traffic_type,
+         case when month(call_date) in (3, 6, 9, 12) then 'Actual' when month(call_date) in (1, 4, 7, 10) then 'Budget' else 'Forecast' end as traffic_type,
          {_money('total_charges_sdr')} / {_money('total_charged_volume_mb')} as unit_price
   from {d.t('inbound_usage')}
-  where month(call_date) in (1, 3, 4, 6, 7, 9, 10, 12)
   group by their_pmn_tadig_code, my_pmn_tadig_code, call_month, call_type,
-           case when month(call_date) in (3, 6, 9, 12) then 'Actual' else 'Budget' end
+           case when month(call_date) in (3, 6, 9, 12) then 'Actual' when month(call_date) in (1, 4, 7, 10) then 'Budget' else 'Forecast' end
 ) r"""
 
 
@@ -409,8 +408,7 @@ select call_date, cast(call_month as string) as call_year_month, call_type,
        number_of_calls as total_target_country_rank, number_of_calls as total_source_country_rank,
        number_of_calls as total_call_type_rank, number_of_calls as total_source_tadig_rank,
        number_of_calls as total_dest_tadig_rank
-from {d.t('outbound_usage')}
-where call_date >= date '2001-07-01'"""
+from {d.t('outbound_usage')}"""
 
 
 def _monthly_counts(d: Dialect, live: bool) -> str:

@@ -120,3 +120,26 @@ def test_range_join_open_ended_window_is_clipped(spark):
         (1, "open"), (2, "old"), (3, None)]
     empty = facts.where("false")
     assert J.as_valid_join(empty, wins, "d", "s", "e", {"w": "w"}).count() == 0
+
+
+def test_range_join_index_is_bounded(spark):
+    """A 10-year, a one-day and an endless window in one table: few listed rows, the facts in the plan once."""
+    from pyspark.sql import functions as F
+    wins = spark.createDataFrame([(D(2010, 1, 1), D(2019, 12, 31), "long"), (D(2015, 5, 5), D(2015, 5, 5), "day"), (D(1, 1, 1), D(9999, 12, 31), "ever")]
+                                 + [(D(2012, 1, 1) + dt.timedelta(k), D(2012, 1, 1) + dt.timedelta(k), f"d{k}") for k in range(300)], "s date, e date, w string")
+    w = wins.select(F.unix_date("s").alias("__s"), F.unix_date("e").alias("__e"))
+    shape = J._window_shape(w).collect()
+    assert len(shape) == 1
+    listed = J.with_scalar(w, J._window_shape(w)).select(F.explode(F.sequence(J._bucket("__s"), J._bucket("__e"))))
+    assert listed.count() <= 4 * wins.count()
+    facts = spark.createDataFrame([(k, D(2009, 12, 25) + dt.timedelta(13 * k)) for k in range(290)] + [(999, None), (1000, D(2015, 5, 5)), (1001, D(9000, 1, 1)), (1002, D(2, 1, 1))], "id int, d date")
+    got = rows(J.as_valid_join(facts, wins, "d", "s", "e", {"w": "w"}), "id", "w")
+    plain = rows(facts.join(wins, (F.col("d") >= F.col("s")) & (F.col("d") <= F.col("e")), "left"), "id", "w")
+    assert got == plain
+
+
+def test_range_join_reads_facts_once(spark, tmp_path):
+    spark.createDataFrame([(1, D(2020, 1, 5))], "id int, d date").write.parquet(str(tmp_path / "facts"))
+    wins = spark.createDataFrame([(D(2020, 1, 1), D(2020, 1, 31), "w")], "s date, e date, w string")
+    df = J.as_valid_join(spark.read.parquet(str(tmp_path / "facts")), wins, "d", "s", "e", {"w": "w"})
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1

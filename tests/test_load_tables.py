@@ -165,8 +165,9 @@ def test_previous_run_gate_takes_strictly_earlier_runs(spark):
 def test_only_other_states_give_no_default_row(spark):
     from roamkit.plans.catalog import _gate_or_default
     runs = spark.createDataFrame([("f", "t", "2024-01-02 00:00:00+00:00", "s", "e", "queued")], RUNS)
-    assert _gate_or_default(spark, runs, "f", "2024-01-05").collect() == []
-    assert [r["poll"] for r in _gate_or_default(spark, runs, "f", "2024-01-01").collect()] == [1]
+    asked = lambda before: spark.createDataFrame([("f", before)], "dag_id string, before string")
+    assert _gate_or_default(spark, runs, asked("2024-01-05")).collect() == []
+    assert [r["poll"] for r in _gate_or_default(spark, runs, asked("2024-01-01")).collect()] == [1]
 
 
 class Crash(Exception):
