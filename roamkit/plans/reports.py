@@ -294,9 +294,14 @@ def steering_mtd(t: Tables) -> DataFrame:
 
 
 # C08 -------------------------------------------------------------------------------
+MONTHLY_COLUMNS = ("count_imsi", "count_data_active", "hmcc", "hmnc", "home_country", "home_operator", "home_tadig",
+                   "vmcc", "vmnc", "visited_country", "visited_operator", "visited_tadig", "visited_in_group",
+                   "extract_year_month")
+
+
 def monthly_counts(t: Tables, cfg: MonthlyCountsConfig = MonthlyCountsConfig()) -> DataFrame:
-    """Frozen history plus live monthly counts (excluded home codes dropped from live only)."""
-    return U.splice(t["monthly_counts_history"], t["monthly_counts_live"],
+    """The 14 columns of frozen history plus live monthly counts (excluded home codes dropped from live only)."""
+    return U.splice(t["monthly_counts_history"].select(*MONTHLY_COLUMNS), t["monthly_counts_live"].select(*MONTHLY_COLUMNS),
                     ~F.col("home_tadig").isin(list(cfg.excluded_home)))
 
 
