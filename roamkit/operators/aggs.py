@@ -5,7 +5,8 @@ map-side partial and a post-shuffle final step, so a hot key is pre-combined
 on every executor before anything moves.  Window operators whose partitions
 would be a few very large groups (latest-per-key, partition totals, ranks of
 totals) are written as "aggregate, then join back": the aggregate is partial
-and small, and the join back is broadcast when its size allows.
+and small, and the join back is broadcast when its size allows.  The latest rows
+of a key are a rank limited before the shuffle.
 """
 
 from __future__ import annotations
@@ -19,19 +20,29 @@ from roamkit.functions.scalars import col
 from roamkit.operators.joins import bounded_broadcast
 
 
-def _parts(x: Column) -> tuple[Column, Column]:
-    """A floating value as its first six decimals, which add exactly, and the rest as a double.
+def _parts(x: Column) -> tuple[Column, ...]:
+    """A floating value as parts whose sums don't depend on the order of adding: decimals, and a double.
 
-    Values of 1e15 and more have no such decimals and stay in the rest whole.
+    Below 1e15: the first six decimals, and what they leave, which has 24 more.  From 1e15
+    to 1e22: three decimals, all that a double has there.  Parts that are nothing are NULL
+    and cost nothing.  Only values from 1e22 up, infinite ones and NaN are added as doubles.
     """
-    head = F.when(F.abs(x) < 1e15, x.cast("decimal(38,6)"))
-    return head, x - F.coalesce(head.cast("double"), F.lit(0.0))
+    size = F.abs(x)
+    head = F.when(size < 1e15, x.cast("decimal(38,6)"))
+    left = x - head.cast("double")
+    return head, F.when(left != 0, left.cast("decimal(38,30)")), F.when((size >= 1e15) & (size < 1e22), x.cast("decimal(38,3)")), F.when(size >= 1e22, x)
+
+
+def _exact_total(x: Column, total: Callable[[Column], Column], count: Callable[[Column], Column]) -> Column:
+    """The sum of ``x`` by ``total`` (an aggregate or one over a window), NULL if ``x`` has no value."""
+    sums = [F.coalesce(total(p).cast("double"), F.lit(0.0)) for p in _parts(x)]
+    head, left, big, rest = sums
+    return F.when(count(x) > 0, big + head + left + rest)
 
 
 def _sum(c: str, dtype: str, exact: bool) -> Column:
     if dtype in ("float", "double") and exact:
-        head, rest = _parts(F.col(c))
-        return F.coalesce(F.sum(head).cast("double"), F.lit(0.0)) + F.sum(rest)
+        return _exact_total(F.col(c).cast("double"), F.sum, F.count)
     if dtype in ("int", "smallint", "tinyint"):
         return F.sum(F.col(c)).cast("bigint")
     return F.sum(F.col(c))
@@ -42,9 +53,10 @@ def group_sum(df: DataFrame, keys: Sequence[str], measures: Sequence[str] | Mapp
               exact: bool = True) -> DataFrame:
     """Several sums by several keys.
 
-    ``exact`` adds the first six decimals of floating measures as decimals and the
-    rest as doubles: nothing is cut off, and totals do not depend on how rows were
-    partitioned or ordered.  Decimal measures give decimal sums.
+    ``exact`` adds floating measures as decimals (see ``_parts``), so totals have the
+    same bits however rows were partitioned or ordered, unless values of 1e22 and more
+    are among them; digits beyond 30 decimals are cut off.  Decimal measures give
+    decimal sums.
     """
     measures = dict(measures) if isinstance(measures, Mapping) else {m: m for m in measures}
     types = dict(df.dtypes)
@@ -81,7 +93,7 @@ def _rejoin(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     for k in keys:
         c = df[k].eqNullSafe(renamed[f"__g_{k}"])
         cond = c if cond is None else cond & c
-    out = df.join(renamed, cond, "inner") if cond is not None else df.crossJoin(renamed)
+    out = df.join(renamed, cond, "inner") if cond is not None else df.crossJoin(F.broadcast(renamed))  # one row without keys
     return out.drop(*[f"__g_{k}" for k in keys])
 
 
@@ -89,12 +101,16 @@ def latest(df: DataFrame, keys: Sequence[str], order: str,
            stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Rows holding the greatest ``order`` per key, ties kept (``dense_rank() = 1``).
 
-    Written as max-per-key + join back: the max is a partial aggregate (a hot
-    key is combined map-side) and the join back does not sort whole groups.
-    A key whose ``order`` is NULL on every row keeps those rows, as the rank
-    form does (descending order puts NULLs last).  ``stage`` materialises the
-    per-key table first, so its measured size can prove it broadcastable.
+    A rank of which only the first is kept: Spark limits each task's rows to it before
+    the shuffle (WindowGroupLimit), so ``df`` is read once and only candidates move.
+    With ``stage`` it is max-per-key + join back instead, the per-key table written
+    first so that its measured size can prove it broadcastable: two reads, but rows
+    that tie in a hot key don't meet in one task.  A key whose ``order`` is NULL on
+    every row keeps those rows (descending order puts NULLs last).
     """
+    if stage is None and keys:
+        w = Window.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
+        return df.withColumn("__rank", F.dense_rank().over(w)).where(F.col("__rank") == 1).drop("__rank")
     top = df.groupBy(*keys).agg(F.max(order).alias("__top"))
     if stage is not None:
         top = stage(top, "per_key_latest")
@@ -180,6 +196,5 @@ def rolling_avg(df: DataFrame, keys: Sequence[str], order: str, c: str, alias: s
     w = Window.partitionBy(*keys).orderBy(F.col(order)).rowsBetween(-preceding, 0)
     if not exact:
         return df.withColumn(alias, F.avg(c).over(w))
-    head, rest = _parts(F.col(c).cast("double"))
-    s = F.coalesce(F.sum(head).over(w).cast("double"), F.lit(0.0)) + F.sum(rest).over(w)
+    s = _exact_total(F.col(c).cast("double"), lambda p: F.sum(p).over(w), lambda p: F.count(p).over(w))
     return df.withColumn(alias, F.try_divide(s, F.count(F.col(c)).over(w).cast("double")))

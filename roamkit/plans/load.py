@@ -176,17 +176,27 @@ def previous_run_gate(runs: DataFrame) -> DataFrame:
     run.  No earlier run at all: poll 1, first run.  Earlier runs only in other
     states: no row.  Rows of one flow and execution date are one run, in the state
     of theirs that blocks most (running, failed, success, others); so only strictly
-    earlier runs count.  The frame is the runs of one flow, bounded by its schedule.
+    earlier runs count.
+
+    A flow's last gated run is carried forward in two levels: over its days (one row
+    each), then over the runs of a day, so a flow with most of the runs is spread over
+    as many tasks as it has days.
     """
     ex = S.before_first("execution_date", "+").alias("execution_date")
     weight = F.coalesce(F.array_position(F.array(*map(F.lit, GATE_STATES)), F.col("state")), F.lit(0))
     state = F.min_by("state", F.when(weight > 0, weight).otherwise(F.lit(len(GATE_STATES) + 1))).alias("state")
     r = runs.groupBy("dag_id", ex).agg(state)
-    w = Window.partitionBy("dag_id").orderBy("execution_date").rowsBetween(Window.unboundedPreceding, -1)
+    # The day is a prefix of the date's text, so it sorts as the text does.
+    r = r.withColumn("__day", F.substring("execution_date", 1, 10))
     gated = F.when(F.col("state").isin(*GATE_STATES), F.struct("execution_date", "state"))
-    r = r.select("dag_id", "execution_date",
-                 F.last(gated, ignorenulls=True).over(w).alias("__prev"),
-                 F.count(F.lit(1)).over(w).alias("__earlier"))
+    days = r.groupBy("dag_id", "__day").agg(F.max_by(gated, F.when(gated.isNotNull(), F.col("execution_date"))).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    earlier_days = Window.partitionBy("dag_id").orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select(F.col("dag_id").alias("__dag"), F.col("__day").alias("__of"), F.last("__last", ignorenulls=True).over(earlier_days).alias("__before"),
+                       F.coalesce(F.sum("__n").over(earlier_days), F.lit(0)).alias("__n_before"))
+    that_day = Window.partitionBy("dag_id", "__day").orderBy("execution_date").rowsBetween(Window.unboundedPreceding, -1)
+    r = r.select("dag_id", "execution_date", "__day", F.last(gated, ignorenulls=True).over(that_day).alias("__same_day"), F.count(F.lit(1)).over(that_day).alias("__n_same"))
+    r = r.join(days, r["dag_id"].eqNullSafe(days["__dag"]) & r["__day"].eqNullSafe(days["__of"]))
+    r = r.select("dag_id", "execution_date", F.coalesce("__same_day", "__before").alias("__prev"), (F.col("__n_same") + F.col("__n_before")).alias("__earlier"))
     prev_state = F.col("__prev.state")
     log = F.concat(F.lit("DAG "), F.col("dag_id"), F.lit(" with execution_date "), F.col("__prev.execution_date"),
                    F.lit(" is in "), prev_state, F.lit(" state."))

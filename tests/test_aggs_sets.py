@@ -121,3 +121,37 @@ def test_sums_keep_digits_beyond_six(spark):
     assert all(abs(r["m"] - 4e-7) < 1e-18 for r in roll)
     exact = A.group_sum(df.selectExpr("k", "cast(d as decimal(20,4)) d"), ["k"], ["d"])
     assert dict(exact.dtypes)["d"].startswith("decimal")
+
+
+def test_sums_have_the_same_bits_in_any_order(spark):
+    """Residues below six decimals and values from 1e15 up add exactly, however rows are dealt."""
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(5)
+    values = [rng.choice([1e-9, 1e16, 1.1, -1e16, 3e21, -3e21, 1e-20, 0.1]) * rng.random() for _ in range(3000)] + [None]
+    got = set()
+    for seed in range(4):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(k % 7, v) for k, v in enumerate(values)], "k int, v double").repartition(1 + 5 * seed, F.rand(seed))
+        total = A.group_sum(df.withColumn("one", F.lit(1)), ["one"], ["v"]).first()["v"]
+        got.add(total.hex())
+    assert len(got) == 1
+    import math
+    assert math.isclose(float.fromhex(got.pop()), math.fsum(v for v in values if v is not None), rel_tol=1e-12)
+    edge = spark.createDataFrame([("a", None), ("b", float("nan")), ("b", 1.0), ("c", 1e300), ("c", 1.0), ("d", 0.0)], "k string, v double")
+    out = {r["k"]: r["v"] for r in A.group_sum(edge, ["k"], ["v"]).collect()}
+    assert out["a"] is None and math.isnan(out["b"]) and out["c"] == 1e300 and out["d"] == 0.0
+
+
+def test_latest_reads_once_and_limits_before_the_shuffle(spark, tmp_path):
+    spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), (None, None, "n"), (None, None, "m")], "k string, o int, v string").write.parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = A.latest(spark.read.parquet(str(tmp_path / "t")), ["k"], "o")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[1]
+        assert rows(df, "v") == [("m",), ("n",), ("y",), ("z",)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -295,3 +295,28 @@ def test_run_status_of_audit_rows(spark):
     rows_ = rows_.withColumn("SCRIPT_LOG", F.when(F.col("SOURCE_TABLE_NAME") == "a", F.lit(L.NOTHING_LOADED)).otherwise(F.col("SCRIPT_LOG")))
     assert rows(L.run_status(runs, rows_), "source", "task_id", "execution_date", "start_date", "end_date", "state") == [
         ("a", "do_not_load_a", "2024-01-03 23:00:00", "12", "12!", "success"), ("c", "load_data_c", "2024-01-03 23:00:00", None, None, None)]
+
+
+def test_previous_run_gate_equals_one_pass_in_order(spark):
+    """The two-level carry equals going through each flow's runs in order; a busy flow has many partitions, not one."""
+    import random
+    rng = random.Random(2)
+    data = [(rng.choice(["busy"] * 8 + ["f", None]), "t", f"2024-0{rng.randint(1, 3)}-{rng.randint(10, 14)} {rng.randint(10, 12)}:00:00+00:00", "s", "e", rng.choice(["running", "failed", "success", "queued", None])) for _ in range(300)]
+    weight = {"running": 0, "failed": 1, "success": 2}
+    state = {}
+    for dag, _, ex, _, _, s in data:
+        key = (dag, ex[:-6])
+        if key not in state or weight.get(s, 3) < weight.get(state[key], 3):
+            state[key] = s
+    want = []
+    for dag in {k[0] for k in state}:
+        last = None
+        for k, ex in enumerate(sorted(e for g, e in state if g == dag)):
+            if last or not k:
+                want.append((dag, ex, 0 if last and state[dag, last] != "success" else 1))
+            if state[dag, ex] in weight:
+                last = ex
+    df = L.previous_run_gate(spark.createDataFrame(data, RUNS))
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    assert rows(df, "dag_id", "execution_date", "poll") == sorted(want, key=key)
+    assert "hashpartitioning(dag_id" in (plan := df._jdf.queryExecution().executedPlan().toString()) and "__day" in plan
