@@ -115,6 +115,23 @@ def lookup_expr(df: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, colu
     return left.join(right, left[tmp] == right["__dim_key"], how).drop(tmp, "__dim_key")
 
 
+# F09 on distinct values ----------------------------------------------------------
+def value_map(df: DataFrame, columns: Sequence[str], fn) -> DataFrame:
+    """``__value``, ``__mapped``: each distinct non-NULL value of ``columns`` (texts) and ``fn`` of it.
+
+    A partial aggregate over these columns alone; for functions too costly to run a row.
+    """
+    values = df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("__value"))
+    return values.where(F.col("__value").isNotNull()).distinct().select("__value", fn(F.col("__value")).alias("__mapped"))
+
+
+def with_mapped(df: DataFrame, mapped: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add ``{output: column}``: each column's value looked up in a ``value_map`` (NULL stays NULL)."""
+    for out, c in columns.items():
+        df = lookup(df, mapped, {c: "__value"}, {out: "__mapped"})
+    return df
+
+
 # J07 ---------------------------------------------------------------------------
 def operator_country(operator: DataFrame, country: DataFrame) -> DataFrame:
     """Operator dimension with its country name (snowflake step)."""

@@ -41,8 +41,9 @@ def _either(b: str, c: str, value: str) -> Column:
 
 
 def traffic_type(variant: str, b_type: str = "b_traffic_type", c_type: str = "c_traffic_type",
-                 b_country: str = "b_country", cfg: DeviationConfig | None = None) -> Column:
-    """Traffic class of a usage row.
+                 b_country: str = "b_country", cfg: DeviationConfig | None = None,
+                 capped: tuple[str, str] | None = None) -> Column:
+    """Traffic class of a usage row.  ``capped``: columns that hold the home and partner countries' INITCAP already.
 
     inbound:  M2M, ISR, NR (same 3-letter prefix, partner country = serving), OTHER, IOT
     outbound: M2M, ISR, NR (home country = partner country), OTH, then by subscriber type
@@ -58,10 +59,11 @@ def traffic_type(variant: str, b_type: str = "b_traffic_type", c_type: str = "c_
         ], "IOT")
     if variant == "outbound":
         st = F.upper(F.col("subscriber_type"))
+        home, partner = map(F.col, capped) if capped else (S.initcap(b_country), S.initcap("their_country_name"))
         return S.case([
             (_either(b_type, c_type, "M2M"), "M2M"),
             (_either(b_type, c_type, "ISR"), "ISR"),
-            (same_prefix & (S.initcap(b_country) == S.initcap("their_country_name")), "NR"),
+            (same_prefix & (home == partner), "NR"),
             (_either(b_type, c_type, "OTHER"), "OTH"),
             (st.isin("NLM2M", "M2M"), "M2M"),
             (st.isin("NLISR", "ISR"), "ISR"),

@@ -204,13 +204,14 @@ def service_openings_extended(t: Tables, steering: DataFrame, openings: DataFram
 def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: str,
             dates: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
     """``dates``: a table with the same call dates as ``usage`` to take the latest
-    settled date from (the raw rows of an aggregate: one column, no aggregation)."""
-    biz = t["code_business"]
+    settled date and the country names from (the raw rows of an aggregate: their own
+    columns, no aggregation).  With ``stage``, INITCAP runs once a distinct name."""
+    biz = t["code_business"].withColumn("country_cap", S.initcap("country"))
     max_d = A.global_max(usage if dates is None else dates, "call_date", "__max_date",
                          where=F.col("call_date") < F.date_sub(S.as_of_date(as_of), cfg.settle_days))
     df = P.settled(P.since(usage, "call_date", cfg.history_floor), "call_date", as_of, cfg.settle_days)
     df = J.lookup(df, biz, {"my_pmn_tadig_code": "tadig"},
-                  {"b_country": "country", "b_traffic_type": "traffic_type", "b_intragroup_eligible": "intragroup_eligible"})
+                  {"my_pmn_country": "country_cap", "b_traffic_type": "traffic_type", "b_intragroup_eligible": "intragroup_eligible"})
     df = J.lookup(df, biz, {"their_pmn_tadig_code": "tadig"},
                   {"c_traffic_type": "traffic_type", "c_intragroup_eligible": "intragroup_eligible"})
     df = J.with_scalar(df, max_d)
@@ -218,15 +219,18 @@ def _valued(usage: DataFrame, t: Tables, cfg: ValuedConfig, as_of, direction: st
     isr = (F.upper("b_traffic_type") == "ISR") | (F.upper("c_traffic_type") == "ISR")
     df = M.rate_lookup(df, M.rate_table(t["rate_card"], cfg), "curr_in_final_iot" if inbound else "curr_out_final_iot",
                        isr, cfg.fallback_months, month_as_text=inbound, months=M.months_until(cfg.history_floor, as_of), stage=stage)
+    caps = {"their_pmn_country": "their_country_name", "__serving": "serving_country_name"}
+    if stage is None:
+        df = df.withColumns({out: S.initcap(c) for out, c in caps.items()})
+    else:
+        names = J.value_map(usage if dates is None else dates, list(caps.values()), S.initcap)
+        df = J.with_mapped(df, stage(names, "country_names"), caps)
     df = df.select(
         "*",
-        S.initcap("b_country").alias("my_pmn_country"),
-        S.initcap("their_country_name").alias("their_pmn_country"),
         M.intragroup().alias("intragroup"),
-        M.traffic_type(direction).alias("traffic_type"),
+        M.traffic_type(direction, capped=("my_pmn_country", "their_pmn_country")).alias("traffic_type"),
         M.recent_flag("call_date", "__max_date", cfg.recent_days,
                       cfg.inbound_year_ago if inbound else cfg.outbound_year_ago).alias("last_28_days"),
-        S.initcap("serving_country_name").alias("__serving"),
         M.value_usage(direction).alias("estimated_revenue" if inbound else "estimated_cost"),
     ).drop("serving_country_name").withColumnRenamed("__serving", "serving_country_name")
     return df
@@ -336,10 +340,9 @@ def contract_register(t: Tables) -> DataFrame:
 def traffic_deviation(t: Tables, cfg: DeviationConfig = DeviationConfig()) -> DataFrame:
     """Daily traffic of the last months per pair and class, tap rate and unique roamers."""
     def recent(df: DataFrame) -> DataFrame:
-        # One scalar, read first: as a literal the bound reaches the Parquet scan
-        # and date-sorted files outside the last months are skipped.
-        floor = M.month_floor(df, months=cfg.months_back).first()["max_call_date"]
-        df = df.where(F.col("call_date") >= F.lit(floor))
+        # A scalar subquery: no job while the plan is built, and at run time the bound
+        # reaches the Parquet scan, so row groups outside the last months are skipped.
+        df = df.where(F.col("call_date") >= M.month_floor(df, months=cfg.months_back).scalar())
         df = P.filter_in(df, "call_type", cfg.call_types)
         df = df.withColumn("subscriber_type", M.subscriber_class(cfg))
         return df.withColumn("my_pmn_tadig_code", M.split_code(cfg))

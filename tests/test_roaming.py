@@ -149,3 +149,47 @@ def test_latest_names_single_scan_equals_double_rank(spark):
     got = rows(M.latest_names(inb, out), "tadig", "syn_operator", "syn_country", "call_date")
     assert got == [("A", "x", None, D(2024, 1, 3)), ("B", "opB3", "cB3", D(2024, 1, 3)),
                    ("C", "opC", "cC", D(2024, 1, 1)), (None, None, None, D(2024, 1, 1))]
+
+
+def test_rate_table_gives_the_same_as_two_lookups(spark):
+    """Duplicate months, gaps, NULL keys and rates: the (key, month) table and the two equi-joins agree; no array is folded."""
+    import random
+    rng = random.Random(4)
+    pick = lambda xs: rng.choice(xs)
+    months = [201911, 201912, 202001, 202002, 202003, 202004, 202005, 202006, 202007, 202008]
+    rates = spark.createDataFrame([(pick(["D", "E", None]), "S", str(pick(months[:7])), pick(["GPRS", "MOC"]), pick([None, 1.0, 2.0, 3.0])) for _ in range(40)],
+                                  "dst_tadig string, src_tadig string, call_year_month string, call_type string, rate double")
+    usage = spark.createDataFrame([(k, pick(["D", "E", "F", None]), "S", pick(["GPRS", "MOC", "SS"]), D(m // 100, m % 100, 28), m, pick([True, False, False]))
+                                   for k, m in enumerate(months * 20)],
+                                  "id int, their_pmn_tadig_code string, my_pmn_tadig_code string, call_type string, call_date date, call_month bigint, isr boolean")
+    staged = []
+
+    def stage(df, name):
+        staged.append(name)
+        return df
+
+    table = M.rate_lookup(usage, rates, "rate", F.col("isr"), months=(201911, 202008), stage=stage)
+    plain = M.rate_lookup(usage, rates, "rate", F.col("isr"))
+    assert rows(table, "id", "iot_rate", "iot_call_year_month") == rows(plain, "id", "iot_rate", "iot_call_year_month")
+    assert staged == ["asof_rates"]
+    assert "collect_list" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_capitals_once_a_name(spark):
+    from roamkit.functions import scalars as S
+    from roamkit.operators import joins as J
+    df = spark.createDataFrame([("bosnia-herzegovina", None), ("isle of man", "bosnia-herzegovina"), (None, "")], "a string, b string")
+    names = J.value_map(df, ["a", "b"], S.initcap)
+    assert names.count() == 3
+    got = J.with_mapped(df, names, {"x": "a", "y": "b"})
+    assert rows(got, "x", "y") == rows(df.select(S.initcap("a").alias("x"), S.initcap("b").alias("y")))
+
+
+def test_deviation_floor_needs_no_job_while_planning(spark, tmp_path):
+    """The month floor is a subquery whose value reaches the scan."""
+    days = [D(2020, m, 15) for m in range(1, 13)]
+    spark.createDataFrame([(x,) for x in days], "call_date date").write.parquet(str(tmp_path / "u"))
+    df = spark.read.parquet(str(tmp_path / "u"))
+    out = df.where(F.col("call_date") >= M.month_floor(df).scalar())
+    assert sorted(r["call_date"].month for r in out.collect()) == [10, 11, 12]
+    assert "Subquery" in out._jdf.queryExecution().executedPlan().toString()
