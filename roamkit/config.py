@@ -7,8 +7,11 @@ The defaults are the production values the reports were written with.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from typing import Any
 
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the production report definitions for the
@@ -143,3 +146,22 @@ class Settings:
     deviation: DeviationConfig = field(default_factory=DeviationConfig)
     monthly: MonthlyCountsConfig = field(default_factory=MonthlyCountsConfig)
     load: LoadConfig = field(default_factory=LoadConfig)
+    ledger_buckets: int = 200  # buckets of the alert ledgers; one holds at most a few hundred MB
+
+
+def settings_from(values: Mapping[str, Any]) -> Settings:
+    """``Settings`` with some values replaced: ``{"alert": {"scan_days": 60}, "ledger_buckets": 50}``, as read from JSON.
+
+    Lists become tuples and ISO dates of date fields dates; a name that doesn't exist is an error.
+    """
+    def filled(default: Any, given: Any) -> Any:
+        if dataclasses.is_dataclass(default):
+            known = {f.name: getattr(default, f.name) for f in dataclasses.fields(default)}
+            if unknown := set(given) - set(known):
+                raise ValueError(f"unknown settings: {sorted(unknown)}")
+            return dataclasses.replace(default, **{k: filled(known[k], v) for k, v in given.items()})
+        if isinstance(given, list):
+            return tuple(tuple(v) if isinstance(v, list) else v for v in given)
+        return dt.date.fromisoformat(given) if isinstance(default, dt.date) else given
+
+    return filled(Settings(), values)

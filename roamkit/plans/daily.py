@@ -10,10 +10,11 @@ C03 (reads C01's table), then C04 (reads C01-C03), then the rest.
 Command line::
 
     python -m roamkit.plans.daily --tables tables.json --out <root> [--as-of YYYY-MM-DD] [--only c05,c11]
+        [--settings settings.json]
 
 ``tables.json`` maps each input name (see ``REPORT_INPUTS``) to a Parquet path
-or a catalog table name.  Configuration other than the run date uses the
-defaults of ``roamkit.config``.
+or a catalog table name.  ``settings.json`` replaces defaults of ``roamkit.config``
+(see ``settings_from``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roamkit.config import Settings
+from roamkit.config import Settings, settings_from
 from roamkit.plans import reports as C
 from roamkit.operators.joins import estimated_bytes
 from roamkit.session import apply_scale_conf, size_shuffles
@@ -62,9 +63,11 @@ def build_reports(tables: Mapping[str, DataFrame], store: TableStore, settings:
         out[rid] = store.replace(df, REPORT_INPUTS[rid][0])
 
     def ledger(rid: str, build: Callable[[DataFrame | None], DataFrame]) -> None:
-        name = REPORT_INPUTS[rid][0]
+        name, keys = REPORT_INPUTS[rid][0], C.PRICE_ALERT_KEYS if rid == "c11" else C.ROLLING_ALERT_KEYS
         prev = store.snapshot(name)  # before the rebuild; None on the first run
-        out[rid] = store.replace(build(prev), name)
+        if prev is not None:
+            prev = store.read_bucketed(f"{name}_prev", keys, s.ledger_buckets)
+        out[rid] = store.replace_bucketed(build(prev), name, keys, s.ledger_buckets)
 
     s = settings
     if "c01" in wanted:
@@ -107,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="root folder of the output table store")
     ap.add_argument("--as-of", default=None, help="run date (default: today)")
     ap.add_argument("--only", default=None, help="comma-separated report ids, e.g. c05,c11")
+    ap.add_argument("--settings", default=None, help="JSON file: settings that differ from the defaults")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("roamkit-daily").getOrCreate()
     apply_scale_conf(spark)
@@ -115,7 +119,11 @@ def main(argv: list[str] | None = None) -> None:
     only = set(args.only.split(",")) if args.only else None
     tables = read_inputs(spark, locations)
     size_shuffles(spark, sum(estimated_bytes(df) for df in tables.values()))
-    built = build_reports(tables, TableStore(spark, args.out), Settings(), args.as_of, only)
+    settings = Settings()
+    if args.settings:
+        with open(args.settings) as fh:
+            settings = settings_from(json.load(fh))
+    built = build_reports(tables, TableStore(spark, args.out), settings, args.as_of, only)
     for rid, df in sorted(built.items()):
         print(rid, REPORT_INPUTS[rid][0], df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else "")
 

@@ -373,6 +373,8 @@ PRICE_ALERT_COLUMNS = ("my_pmn_tadig_code", "their_pmn_tadig_code", "call_type",
                        "iot_rate_eur", "iot_rate_eur_30", "percentage")
 ROLLING_ALERT_COLUMNS = ("call_date", "my_pmn_tadig_code", "their_pmn_tadig_code", "total_charged_volume_mb",
                          "total_charges_eur", "rolling_avg")
+PRICE_ALERT_KEYS = ("call_date", "call_date_30", "my_pmn_tadig_code", "their_pmn_tadig_code", "call_type")
+ROLLING_ALERT_KEYS = ("call_date", "my_pmn_tadig_code", "their_pmn_tadig_code")
 
 
 def price_changes(usage: DataFrame, fx: DataFrame, cfg: AlertConfig, as_of, stage=None) -> DataFrame:
@@ -402,8 +404,7 @@ def price_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertConfi
                             cfg.volume_threshold).select(*PRICE_ALERT_COLUMNS)
     if prev is None:
         prev = empty_ledger(alerts.sparkSession, PRICE_ALERT_COLUMNS, alerts)
-    keys = ["call_date", "call_date_30", "my_pmn_tadig_code", "their_pmn_tadig_code", "call_type"]
-    return U.merge_ledger(alerts, prev.select(*PRICE_ALERT_COLUMNS, "latest_flag"), keys, null_safe=cfg.null_safe)
+    return U.merge_ledger(alerts, prev.select(*PRICE_ALERT_COLUMNS, "latest_flag"), PRICE_ALERT_KEYS, null_safe=cfg.null_safe)
 
 
 def rolling_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertConfig(), as_of=None,
@@ -420,4 +421,4 @@ def rolling_alert(t: Tables, prev: DataFrame | None, cfg: AlertConfig = AlertCon
     if prev is None:
         prev = empty_ledger(alerts.sparkSession, ROLLING_ALERT_COLUMNS, alerts)
     return U.merge_ledger(alerts, prev.select(*ROLLING_ALERT_COLUMNS, "latest_flag"),
-                          ["call_date", *keys], null_safe=cfg.null_safe)
+                          ROLLING_ALERT_KEYS, null_safe=cfg.null_safe)

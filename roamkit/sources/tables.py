@@ -14,8 +14,9 @@ Storage is whatever filesystem the root lives on (the cluster's shared
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,31 @@ class TableStore:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def replace_bucketed(self, df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+        """S02 of a ledger kept in buckets of its key, so that a join with it on ``keys`` shuffles the other side only.
+
+        New rows should come with the old ones unshuffled (as ``merge_ledger`` gives them):
+        a task then writes the buckets that it holds.
+        """
+        path = "/".join([self.root, name, f"{self._new_version(name)}-b{buckets}"])
+        df.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(self._ident(path))
+        return self.spark.table(self._ident(path))
+
+    def read_bucketed(self, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+        """The table with its buckets known to the planner; one written otherwise is read plainly."""
+        path = self.current_path(name)
+        if path is None or not path.endswith(f"-b{buckets}"):
+            return self.read(name)
+        if not self.spark.catalog.tableExists(self._ident(path)):  # written by another session
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
+            by = ", ".join(f"`{k}`" for k in keys)
+            self.spark.sql(f"create table {self._ident(path)} ({columns}) using parquet clustered by ({by}) sorted by ({by}) into {buckets} buckets location '{path}'")
+        return self.spark.table(self._ident(path))
+
+    @staticmethod
+    def _ident(path: str) -> str:
+        return f"roamkit_{hashlib.sha1(path.encode()).hexdigest()[:20]}"
+
     def snapshot(self, name: str, to: str | None = None) -> DataFrame | None:
         """Make ``<name>_prev`` (or ``to``) the current version of ``name``.
 
