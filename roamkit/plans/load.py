@@ -236,7 +236,7 @@ class StagedLoad:
     def seed(self, published: DataFrame, audit: DataFrame) -> None:
         """First content of the tables, from those of an earlier system."""
         published.write.mode("errorifexists").partitionBy(SOURCE).parquet(f"{self.root}/published")
-        audit.select(*AUDIT_COLUMNS).write.mode("errorifexists").partitionBy("DAG_RUN_ID").parquet(f"{self.root}/audit")
+        audit.select(*AUDIT_COLUMNS).repartition("DAG_RUN_ID").write.mode("errorifexists").partitionBy("DAG_RUN_ID").parquet(f"{self.root}/audit")
 
     # -- steps -------------------------------------------------------------------------
     def committed(self, path: str) -> bool:
