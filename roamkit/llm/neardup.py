@@ -8,7 +8,10 @@ signature, so a shingle stops there (early termination).  Two registers agree wi
 the probability Jaccard of the documents.  A second signature gives every shingle the
 weight 1, so that its registers agree with the plain Jaccard.
 
-Bands of both signatures give buckets.  Each of ``ROUNDS`` rounds takes the buckets whose
+Bands of both signatures give buckets; a band's number and registers are its bucket's name, so
+where both signatures are equal a document is in each bucket once.  Signatures, buckets and the
+words of documents that share a bucket are written in tables bucketed by id, so that later joins
+shuffle pairs and not texts.  Each of ``ROUNDS`` rounds takes the buckets whose
 members are in several classes, names one member of the largest class leader, and verifies
 every other document against the one of its buckets' leaders that it agrees with best; so
 a large group is settled with a few pairs a member.  A last pass verifies what is left of
@@ -26,7 +29,7 @@ Jaccard of 0.8 all bands of the second, miss with probability 3e-6, and fewer th
 ``MIN_AGREE`` of its 96 one-byte registers agree with probability of about 1e-5.
 
 Defined cases: NULL text counts as empty; equal texts (empty ones too) are one class;
-texts of fewer than five words are one shingle; a text without words has links to equal
+texts of fewer than five words are one shingle (words are compared by 32-bit hashes); a text without words has links to equal
 texts only; rows that share a doc_id are one document, which the text with the smallest
 hash stands for; rows without a doc_id give one row of NULLs; an empty table gives no
 rows; columns other than doc_id and text are ignored.
@@ -42,12 +45,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roamkit.llm.shared import python_tasks, stage
+from roamkit.llm.shared import forget, python_tasks, stage, stage_by
 
 WORDS, SIMILARITY = 5, 0.8
 #: Signatures a document (weighted by counts, and unit weights), registers of each, registers a band.
 KINDS, REGISTERS, ROWS = 2, 96, 4
-BANDS = KINDS * REGISTERS // ROWS
+BANDS = REGISTERS // ROWS
 MIN_AGREE, ROUNDS = 58, 4
 #: A block holds about so many documents and words.
 BLOCK, BLOCK_WORDS = 256, 200_000
@@ -122,7 +125,7 @@ def similarity(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> fl
 
 def word_hashes(text: Column) -> Column:
     words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    return F.transform(words, lambda w: F.hash(w))
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,17 +140,21 @@ def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             of = again[doc]
             plain[again] = prob_minhash((np.cumsum(again) - 1)[doc[of]], h[of], np.ones(int(of.sum())), int(again.sum()))
         z = np.concatenate([z, plain], axis=1)
-        some = np.array([len(x) > 0 for x in pdf["words"]], dtype=bool)
-        z &= _U(255)
-        bands = mixed(reduce(lambda acc, k: mixed(acc + z[:, k::ROWS]), range(ROWS), np.zeros((len(pdf), BANDS), np.uint64)) + np.arange(BANDS, dtype=np.uint64))
-        packed = np.ascontiguousarray(z.astype(np.uint8)).view(np.int64)
-        out = pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "n_words": [len(x) for x in pdf["words"]], "bands": list(bands.view(np.int64))})
+        packed = np.ascontiguousarray((z & _U(255)).astype(np.uint8)).view(np.int64)
+        out = pd.DataFrame({"id": pdf["id"], "digest": pdf["digest"], "n_words": [len(x) for x in pdf["words"]]})
         for k in range(LONGS):
             out[f"s{k}"] = packed[:, k]
-        yield out[some]
+        yield out
 
 
-SIGNED = "id long, digest struct<x:long,y:long>, n_words long, bands array<long>, " + ", ".join(f"s{k} long" for k in range(LONGS))
+SIGNED = "id long, digest struct<x:long,y:long>, n_words long, " + ", ".join(f"s{k} long" for k in range(LONGS))
+
+
+def buckets_of() -> Column:
+    """The distinct buckets of a signed row: the band's number, then its four registers (half a long), in one long."""
+    each = LONGS // KINDS
+    half = lambda k, band: F.shiftrightunsigned(F.col(f"s{k * each + band // 2}"), 32 * (band % 2)).bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.array_distinct(F.array(*[half(k, band).bitwiseOR(F.lit(band << 32)) for k in range(KINDS) for band in range(BANDS)]))
 
 
 def _agree(a: str, b: str) -> Column:
@@ -171,22 +178,21 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["a", "b"]][s >= SIMILARITY]
 
 
-def verified(pairs: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough by their whole texts.
-
-    ``texts`` has id, digest and text, ``chosen`` the id and digest that stand for each distinct text.
-    """
+def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough by their whole texts.  ``words``: see ``words_by_id``."""
     pairs = stage(pairs, "pairs")
-    words = words_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), texts, chosen)
     side = lambda x: words.select(F.col("id").alias(x), F.col("words").alias(f"words_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_verify, "a long, b long")
 
 
-def words_of(ids: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(id, words): the word hashes of the text that stands for each of ``ids``."""
-    # written first: while their size is under Spark's limit they are broadcast, and no text is shuffled
-    ids = stage(ids.distinct().join(chosen, "id"), "pair-ids")
-    return stage(texts.join(ids, ["id", "digest"], "left_semi").select("id", word_hashes(F.col("text")).alias("words")).dropDuplicates(["id"]), "pair-words")
+def words_by_id(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, words), bucketed by id: the word hashes of the text that stands for each of ``ids`` (bucketed by id).
+
+    ``texts`` has id, digest and text.  This is the only shuffle of whole texts, as hashes of four bytes a word.
+    """
+    words = texts.select("id", F.struct("digest", word_hashes(F.col("text")).alias("words")).alias("row"))
+    one = words.groupBy("id").agg(F.min("row").alias("row"))
+    return stage_by(one.join(ids, "id", "left_semi").select("id", F.col("row.words").alias("words")), "id", "words")
 
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,7 +210,7 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             good = [np.zeros(0, bool)]
             for at in range(0, len(i), 16_384):
                 same = a[i[at : at + 16_384]] == b[j[at : at + 16_384]]
-                earlier = same.reshape(len(same), BANDS, ROWS)[:, : row.band].all(axis=2).any(axis=1)
+                earlier = same.reshape(len(same), KINDS, BANDS, ROWS)[:, :, : row.band].all(axis=3).any(axis=(1, 2))
                 good.append(~earlier & (same.reshape(len(same), KINDS, REGISTERS).sum(axis=2).max(axis=1) >= MIN_AGREE))
             good = np.concatenate(good)
             if good.any():
@@ -255,9 +261,9 @@ def _verify_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"a": a[good], "b": b[good]})
 
 
-def across_classes(buckets: DataFrame, torn: DataFrame, label: DataFrame, sig: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+def across_classes(buckets: DataFrame, torn: DataFrame, label: DataFrame, sig: DataFrame, words: DataFrame) -> DataFrame:
     """The links (a, b) among all candidate pairs between two classes."""
-    across = buckets.join(torn, "bucket").join(label, "id").join(sig, "id")
+    across = buckets.join(label, "id").join(torn, "bucket").join(sig, "id").withColumn("band", F.shiftright("bucket", 32).cast("int"))
     minor = F.col("class") != F.col("major")
     whole = (F.col("n_all") <= BLOCK) & (F.col("w_all") <= BLOCK_WORDS)
     parts = lambda n, w: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(w / BLOCK_WORDS))
@@ -277,7 +283,6 @@ def across_classes(buckets: DataFrame, torn: DataFrame, label: DataFrame, sig: D
     key = ["bucket", "x", "y"]
     cells = stage(own.union(two).mapInPandas(_candidates, "bucket long, x long, y long, a array<long>, b array<long>"), "cells")
     needs = stage(cells.select(*key, F.explode(F.array_distinct(F.concat("a", "b"))).alias("id")), "needs")
-    words = words_of(needs.select("id"), texts, chosen)
     filled = needs.join(words, "id").groupBy(*key).agg(F.collect_list(F.struct("id", "words")).alias("of"))
     return cells.join(filled, key).select(F.col("of.id").alias("ids"), F.col("of.words").alias("words"), "a", "b").mapInPandas(_verify_cells, "a long, b long")
 
@@ -308,25 +313,29 @@ def components(ids: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return label
 
 
-def classes(signed: DataFrame, texts: DataFrame, chosen: DataFrame) -> DataFrame:
+def classes(signed: DataFrame, texts: DataFrame) -> DataFrame:
     """(id, class) of every signed document that shares a bucket.
 
-    ``signed`` is a written table of one row an id (see ``SIGNED``); ``texts`` and ``chosen`` as in ``verified``.
+    ``signed`` has one row an id and is bucketed by it (see ``SIGNED``); ``texts`` as in ``words_by_id``.
     """
-    buckets = signed.select("id", "n_words", F.posexplode("bands").alias("band", "bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = stage(buckets.join(shared, "bucket"), "buckets")
-    sig = signed.drop("bands", "n_words")
-    label = stage(buckets.select("id").distinct().withColumn("class", F.col("id")), "members")
+    every = signed.select("id", F.explode(buckets_of()).alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    buckets = stage_by(every.join(shared, "bucket"), "id", "buckets")
+    members = stage_by(buckets.select("id").distinct(), "id", "members")
+    words = words_by_id(texts, members)
+    sig = signed.drop("n_words")
+    label = stage(members.join(signed.select("id", "n_words"), "id").withColumn("class", F.col("id")), "member-labels")
     agreeing = lambda pairs: pairs.alias("p").join(sig.alias("a"), F.col("p.a") == F.col("a.id")).join(sig.alias("b"), F.col("p.b") == F.col("b.id")).withColumn("agree", _agree("a", "b")).where(F.col("agree") >= MIN_AGREE)
     for turn in range(ROUNDS):
         torn = torn_buckets(buckets, label, turn)
         beside = buckets.join(label, "id").join(torn.select("bucket", "major", "leader"), "bucket").where("class <> major")
         pairs = agreeing(beside.select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
         nearest = pairs.groupBy(F.col("p.a").alias("a")).agg(F.max_by("p.b", F.struct("agree", "p.b")).alias("b"))
-        label = merged(label, verified(nearest, texts, chosen), f"round-{turn}")
+        label = merged(label, verified(nearest, words), f"round-{turn}")
     torn = torn_buckets(buckets, label, ROUNDS)
-    return merged(label, across_classes(buckets, torn, label, sig, texts, chosen), "rest")
+    label = merged(label, across_classes(buckets, torn, label, sig, words), "rest")
+    forget(buckets, members, words)
+    return label
 
 
 def torn_buckets(buckets: DataFrame, label: DataFrame, turn: int) -> DataFrame:
@@ -342,7 +351,7 @@ def torn_buckets(buckets: DataFrame, label: DataFrame, turn: int) -> DataFrame:
 def merged(label: DataFrame, links: DataFrame, name: str) -> DataFrame:
     """``label`` after uniting the classes that ``links`` connect."""
     united = components(label.select(F.col("class").alias("id")).distinct(), classes_of(links, label), name)
-    return stage(label.join(united.select(F.col("id").alias("class"), F.col("class").alias("to")), "class").select("id", F.col("to").alias("class")), f"{name}-merged")
+    return stage(label.join(united.select(F.col("id").alias("class"), F.col("class").alias("to")), "class").select("id", "n_words", F.col("to").alias("class")), f"{name}-merged")
 
 
 def classes_of(links: DataFrame, label: DataFrame) -> DataFrame:
@@ -358,10 +367,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keyed = rows.where("doc_id is not null").select("doc_id", digest).groupBy("doc_id").agg(F.min("digest").alias("digest"))
     keyed = stage(keyed, "digests")
     chosen = stage(keyed.groupBy("digest").agg(F.min("doc_id").alias("id")), "chosen")
-    # signed without a join, so that no text is shuffled; of equal texts one signature stays
-    signed = rows.select(F.col("doc_id").alias("id"), digest, word_hashes(F.col("text")).alias("words")).mapInPandas(_sign, SIGNED)
-    signed = stage(signed.join(chosen, ["id", "digest"], "left_semi").drop("digest").dropDuplicates(["id"]), "signed")
-    label = classes(signed, rows.select(F.col("doc_id").alias("id"), digest, "text"), chosen)
+    # signed before any shuffle, so that no text moves; of a doc_id the text that stands for it stays, and one id of equal texts
+    known = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), digest, "text")
+    signed = known.select("id", "digest", word_hashes(F.col("text")).alias("words")).mapInPandas(_sign, SIGNED)
+    one = signed.groupBy("id").agg(F.min(F.struct(*signed.columns[1:])).alias("row")).where("row.n_words > 0")
+    signed = stage_by(one.join(chosen.select("id"), "id", "left_semi").select("id", "row.n_words", *[f"row.s{k}" for k in range(LONGS)]), "id", "signed")
+    label = classes(signed, known)
+    forget(signed)
     final = label.select("id", F.col("class").alias("class_id"))
     same = keyed.join(chosen, "digest").select("doc_id", "id")
     none = rows.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id")).limit(1)

@@ -35,6 +35,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As ``stage``, bucketed and sorted by ``key``: joins and groupings on it shuffle only what they meet.
+
+    The rows are dealt by the hash of ``key`` to as many buckets as a shuffle has partitions.  The
+    table is external, under the shared folder; ``forget`` takes it out of the catalog.
+    """
+    spark = df.sparkSession
+    n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), run_dir(spark, name)
+    table = f"roamkit_llm_{path.rsplit('-', 1)[1]}"
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Take tables of ``stage_by`` out of the catalog; their files stay."""
+    for t in tables:
+        for f in t.inputFiles()[:1]:
+            t.sparkSession.sql(f"drop table if exists roamkit_llm_{f.rsplit('/', 2)[1].rsplit('-', 1)[1]}")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it.
 
