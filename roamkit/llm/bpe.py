@@ -7,7 +7,9 @@ concatenated.  Fragments are short and repeat, so their ids, and those of whole
 between white space, are kept in bounded tables.  Decoding joins the tokens' strings.
 
 For files of the kind of word_bpe_49k.json: NFC, white space to one space, lower case, a
-split pattern, bytes written as characters, word-end suffix, no decoder.
+split pattern, bytes written as characters, word-end suffix, no decoder.  Where a text has
+characters on which Unicode tables of different age disagree, the library's own normalizer
+and pre-tokenizer say what its words are; they are cut and merged here all the same.
 
 Defined cases: NULL text counts as empty: no ids, and the empty string decoded; special
 tokens written in a text become their ids; repeated rows are returned as often as they
@@ -26,14 +28,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from unicodedata import normalize
+from tokenizers import Tokenizer
 
 from roamkit.llm.shared import python_tasks
 from roamkit.llm.tokens import KEPT, PLAIN, byte_of_char
 
-#: What the library's pattern engine takes for white space.
-SPACES = r"\t-\r \x85\xa0  -     　"
-
 
 class ForcedBoundaryBpe:
     def __init__(self, spec: dict):
@@ -45,7 +44,8 @@ class ForcedBoundaryBpe:
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
         self.special_split = regex.compile("(" + "|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) + ")") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(pattern.replace(r"[^\s", f"[^{SPACES}"))
+        self.words = regex.compile(pattern)
+        self.library = Tokenizer.from_str(json.dumps(spec))
         #: Symbol pairs that some token holds side by side; any other pair is a cut.
         self.joined = {pair for t in self.vocab for s in [self.symbols_of_token(t)] for pair in zip(s, s[1:])}
         self.fragments: dict[tuple[str, ...], tuple[int, ...]] = {}
@@ -84,7 +84,10 @@ class ForcedBoundaryBpe:
         return ids
 
     def word_ids(self, word: str) -> list[int]:
-        symbols = [self.char_of[b] for b in word.encode()]
+        return self.symbol_ids([self.char_of[b] for b in word.encode()])
+
+    def symbol_ids(self, symbols: list[str]) -> list[int]:
+        """Ids of a word given as the characters that its bytes are written as."""
         symbols[-1] += self.suffix
         joined, out, begin = self.joined, [], 0
         for k in range(1, len(symbols)):
@@ -100,8 +103,8 @@ class ForcedBoundaryBpe:
             if k % 2:
                 ids.append(self.special[part])
             else:
-                lower = "".join(c.lower() for c in normalize("NFC", part))  # letter by letter: no final sigma
-                ids += chain.from_iterable(map(self.word_ids, self.words.findall(lower)))
+                words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+                ids += chain.from_iterable(self.symbol_ids(list(word)) for word, _ in words)
         return ids
 
     def decode(self, ids: list[int]) -> str:
