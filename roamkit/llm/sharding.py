@@ -5,7 +5,8 @@ small slot-to-shard map decides where a slot lives; it is balanced by the bytes
 each slot holds and stored by version.  Rebalancing moves the fewest slots.
 
 Defined cases: NULL text counts 1 byte (0 + 1) and has crc32 0, as the empty
-text; a NULL id hashes like any other value; repeated rows share a slot and get
+text; rows that share a doc_id but not the text have slots of their own; rows without a
+doc_id are dealt at random, since nothing looks them up; repeated rows share a slot and get
 places of their own; an empty table gives no rows (and a map over empty slots);
 columns other than ``doc_id`` and ``text`` are ignored.
 """
@@ -26,8 +27,9 @@ N_SLOTS = 8192
 def slotted(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     """doc_id, size, text_crc32 and the record's virtual slot."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64(F.rand(8))).otherwise(F.xxhash64("doc_id", text))
     return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-                       F.pmod(F.xxhash64("doc_id"), F.lit(n_slots)).cast("int").alias("virtual_slot"))
+                       F.pmod(key, F.lit(n_slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_bytes(rows: DataFrame) -> DataFrame:
