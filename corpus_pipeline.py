@@ -1,15 +1,17 @@
 """A corpus pipeline of five stages: from raw documents to packed token sequences.
 
-Each stage gets what its predecessor kept and decides on all of it.  A doc_id stands for
-a document: rows that share one are kept or rejected together, and rows without one stay.
-Rejected ids are written first; while they are few, Spark broadcasts them and the texts
+Each stage gets what its predecessor kept and decides on all of it.  A document is its
+doc_id, text, language and source together: the operators get a hash of these in place of
+the doc_id, so rows without a doc_id are judged like others, rows that share one are judged
+by their own texts, and of rows equal in all four the near-duplicate stage keeps one.
+Rejected keys are written first; while they are few, Spark broadcasts them and the texts
 are filtered without a shuffle.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamkit.llm import neardup, packing, quality, secret_scan, toxicity
@@ -17,31 +19,43 @@ from roamkit.llm.queries import BYTE_VOCABULARY
 from roamkit.llm.shared import stage
 
 
-def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """``docs`` without the rows whose doc_id is among ``ids`` (column doc_id)."""
-    gone = stage(ids.where("doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct(), name)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def row_key(docs: DataFrame) -> Column:
+    """What a document is told by; NULL and empty differ."""
+    given = [docs[c] for c in ("doc_id", "text", "lang", "source") if c in docs.columns]
+    return F.xxhash64(*given, *[c.isNull() for c in given])
+
+
+def by_key(docs: DataFrame) -> DataFrame:
+    """``docs`` as the operators get them: the row's key in place of its doc_id."""
+    return docs.withColumn("doc_id", row_key(docs))
+
+
+def without(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """``docs`` without the rows whose key is among ``keys`` (column doc_id)."""
+    gone = stage(keys.select("doc_id").distinct(), name)
+    return docs.join(gone, row_key(docs) == gone["doc_id"], "left_anti")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine calls toxic go."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return without(docs, toxicity.score(docs, model).where(F.col("score") >= toxicity.THRESHOLD), "toxic")
+    return without(docs, toxicity.score(by_key(docs), model).where(F.col("score") >= toxicity.THRESHOLD), "toxic")
 
 
 def poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are outliers of their language and source go."""
-    return without(docs, quality.rules(docs).where("not kept"), "poor")
+    return without(docs, quality.rules(by_key(docs)).where("not kept"), "poor")
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group stays, in one row."""
-    one = without(docs, neardup.near_duplicates(docs).where("doc_id <> class_id"), "copies")
-    again = stage(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    """The document with the smallest key of each group stays, in one row."""
+    one = without(docs, neardup.near_duplicates(by_key(docs)).where("doc_id <> class_id"), "copies")
+    again = stage(one.groupBy(row_key(one).alias("doc_id")).agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return one
-    repeated = one.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return without(one, again, "repeated-ids").unionByName(repeated)
+    rows = one.join(again, row_key(one) == again["doc_id"], "left_semi")
+    key = ["doc_id", *[c for c in ("text", "lang", "source") if c in docs.columns]]
+    return without(one, again, "repeated-rows").unionByName(rows.dropDuplicates(key))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ FEATURES = ["length", "transitions", "digits", "uppers", "distinct", "hex", "cov
 
 
 def findings(docs: DataFrame, path: str = "source") -> DataFrame:
-    """doc_id, path, candidate, start (from 1), times, and the text around the first place."""
+    """doc_id, text_key (a hash of the text), path, candidate, start (from 1), times, and the text around the first place."""
     text = F.coalesce(F.col("text"), F.lit(""))
     runs = F.array_distinct(F.filter(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), lambda c: c.rlike("[0-9]|[a-z][A-Z]")))
     rows = docs.select("doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), text.alias("text"), runs.alias("runs")).where(F.size("runs") > 0)
@@ -48,7 +48,8 @@ def findings(docs: DataFrame, path: str = "source") -> DataFrame:
         return F.struct(c.alias("candidate"), at.alias("start"), ((F.length("text") - F.length(F.replace(F.col("text"), c, F.lit("")))) / F.length(c)).cast("int").alias("times"),
                         F.substring(F.col("text"), F.greatest(at - 48, F.lit(1)), F.least(at - 1, F.lit(48))).alias("before"), F.substring(F.col("text"), at + F.length(c), F.lit(32)).alias("after"))
 
-    return rows.select("doc_id", "path", F.explode(F.transform("runs", around)).alias("f")).select("doc_id", "path", "f.*")
+    each = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "path", F.explode(F.transform("runs", around)).alias("f"))
+    return each.select("doc_id", "text_key", "path", "f.*")
 
 
 def featured(found: DataFrame) -> DataFrame:
@@ -105,12 +106,17 @@ def scan(docs: DataFrame, path: str = "source", known: DataFrame | None = None)
 
 
 def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with every secret of its text replaced by ``MASK`` (longest first); other columns as they are."""
-    per_doc = found.where("is_secret").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")), asc=False).alias("found"))
-    secrets = per_doc.select(F.col("doc_id").alias("_id"), F.col("found.candidate").alias("_secrets"))
-    text = F.aggregate("_secrets", F.col("text"), lambda acc, s: F.replace(acc, s, F.lit(MASK)))
-    rows = docs.join(secrets, docs["doc_id"].eqNullSafe(secrets["_id"]), "left")
-    return rows.withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(text)).select(*docs.columns)
+    """``docs`` with every secret of its text replaced by ``MASK`` (longest first); other columns as they are.
+
+    A text is searched for its own secrets only, whether or not its doc_id is NULL or repeated.
+    """
+    per_doc = found.where("is_secret").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct(F.length("candidate").alias("n"), "candidate")), asc=False).alias("found"))
+    secrets = per_doc.select(F.col("doc_id").alias("id"), "text_key", F.col("found.candidate").alias("secrets"))
+    rows = docs.select(F.struct("*").alias("row"))  # no name of docs can clash with those used here
+    same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("text_key"))
+    text = F.aggregate("secrets", F.col("row.text"), lambda acc, s: F.replace(acc, s, F.lit(MASK)))
+    masked_text = F.when(F.col("secrets").isNull(), F.col("row.text")).otherwise(text)
+    return rows.join(secrets, same, "left").select(*[masked_text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op1(docs: DataFrame) -> DataFrame:

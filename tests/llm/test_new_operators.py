@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from roamkit.llm import ffd, merkle, oracles, treap
+from roamkit.llm import bpe, ffd, merkle, oracles, secret_scan, sharding, treap
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 TERMS = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -234,3 +234,51 @@ def test_empty_tables_of_the_new_operators(spark, edges):
     items = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert treap.op11(none, items).collect() == [] and treap.op11(edges, items.limit(0)).collect() == []
     assert ffd.op12(none, BYTE).collect() == [] and merkle.op13(none).collect() == []
+
+
+def test_bpe_of_every_character():
+    """Ids of each code point, alone in words of its own and inside one, are the library's."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.codec(path)
+    points = [chr(k) for k in range(0x110000) if not 0xD800 <= k < 0xE000 and (k < 0x30000 or k % 997 == 0)]
+    for at in range(0, len(points), 256):
+        text = " ".join(f"{c} a{c}B {c}{c}9{c}" for c in points[at : at + 256])
+        want = library.encode(text, add_special_tokens=False).ids
+        n, ids, decoded = own.round_trip(text)
+        assert ids.decode() == " ".join(map(str, want)), [c for c in points[at : at + 256] if own.encode(f"a{c}B") != library.encode(f"a{c}B", add_special_tokens=False).ids]
+        assert n == len(want) and decoded.decode() == library.decode(want, skip_special_tokens=False)
+
+
+def test_shards_stay_equal_without_ids(spark):
+    """A third of the ids NULL and a third the same: no shard gets them all."""
+    rows = [((None, 7, k)[k % 3], f"text {k} " * (k % 5)) for k in range(3000)]
+    got = sharding.op8(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()
+    held = got.groupby("shard")["size"].sum()
+    assert len(got) == 3000 and len(held) == 16 and held.max() - held.min() <= 60
+    assert all(sorted(s) == list(range(len(s))) for _, s in got.groupby("shard")["slot"])
+    assert sorted(zip(got["size"], got["text_crc32"])) == sorted((len(t) + 1, zlib.crc32(t.encode())) for _, t in rows)
+
+
+def test_masking_takes_a_text_by_itself(spark):
+    """NULL and repeated ids, and columns named as those used inside."""
+    key = "ab12cd34ef56ab78cd90"
+    rows = [(None, f"password = {key} here", "x"), (None, f"nothing of it: {key}0 stands", "x"), (None, None, "x"), (1, f"token: {key} and {key}", "x"), (1, "plain", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _secrets string").withColumns({c: F.lit("y") for c in ("secrets", "row", "id", "text_key", "a.b")})
+    found = secret_scan.findings(docs, "_secrets").withColumn("is_secret", F.col("candidate") == key)
+    got = secret_scan.masked(docs, found)
+    assert got.columns == docs.columns
+    assert sorted((r["text"] or "") for r in got.collect()) == sorted(["password = [SECRET] here", f"nothing of it: {key}0 stands", "", "token: [SECRET] and [SECRET]", "plain"])
+
+
+def test_pipeline_judges_rows_without_ids(spark, edges):
+    import corpus_pipeline as p
+    rng = np.random.default_rng(4)
+    prose = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(6)]
+    near = prose[0].rsplit(" ", 1)[0] + " changed"
+    rows = [(None, prose[0]), (None, prose[0]), (None, near), (5, prose[1]), (5, prose[2]), (6, prose[2]), (7, prose[3]), (7, prose[3]), (None, "too short"), (8, "short too"), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "a", "z") for r in rows], "doc_id long, text string, lang string, source string, class_id string")
+    kept = [r["text"] for r in p.copies(spark, docs, "").collect()]
+    assert sorted(t or "" for t in kept if t not in (prose[0], near)) == sorted([prose[1], prose[2], prose[3], "too short", "short too", ""])
+    assert sum(t in (prose[0], near) for t in kept) == 1
+    good = p.poor(spark, docs, "")
+    assert good.columns == docs.columns and {r["text"] for r in good.collect()} == {*prose[:4], near} and good.count() == 8
