@@ -48,8 +48,12 @@ def poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest key of each group stays, in one row."""
-    one = without(docs, neardup.near_duplicates(by_key(docs)).where("doc_id <> class_id"), "copies")
+    """The document with the smallest doc_id of each group stays (one without a doc_id where none has any), in one row."""
+    own = docs.select(row_key(docs).alias("doc_id"), docs["doc_id"].alias("own"))
+    of = stage(neardup.near_duplicates(by_key(docs)).join(own, "doc_id"), "classes")
+    first = F.min(F.struct(F.col("own").isNull().alias("none"), "own", "doc_id"))["doc_id"]
+    stays = of.groupBy("class_id").agg(F.count("*").alias("n"), first.alias("stays")).where("n > 1")
+    one = without(docs, of.join(stays, "class_id").where("doc_id <> stays"), "copies")
     again = stage(one.groupBy(row_key(one).alias("doc_id")).agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
     if again.isEmpty():
         return one
