@@ -58,3 +58,19 @@ def ranked_search() -> str:
             from asked join dfs using (term) join tfs using (term) join lengths using (d) cross join sums s group by i, d),
         ranked as (select i, doc_id, score, row_number() over (partition by i order by score desc, doc_id nulls last) as rank from scores join docs using (d) where score > 0)
         select item_id, rank, doc_id, score from ranked join items using (i) where rank <= 10"""
+
+
+def bm25_topk() -> str:
+    """op7 by scoring every document that shares a term with a query."""
+    terms = r"unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))"
+    return f"""with docs as (select row_number() over () as d, doc_id, text from documents),
+        occurrences as (select d, {terms} as term from docs),
+        tfs as (select d, term, count(*) as tf from occurrences group by d, term),
+        lengths as (select d, sum(tf) as n from tfs group by d),
+        sums as (select (select count(*) from docs) as docs, greatest(1.0, (select count(*) from occurrences)::double / (select count(*) from docs)) as mean),
+        dfs as (select term, count(*) as df from tfs group by term),
+        asked as (select distinct doc_id as query_id, term from tfs join docs using (d) where doc_id % 50 = 0),
+        scores as (select query_id, d, round(sum(ln(1 + (s.docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / s.mean))), 6) as score
+            from asked join dfs using (term) join tfs using (term) join lengths using (d) cross join sums s group by query_id, d),
+        ranked as (select query_id, row_number() over (partition by query_id order by score desc, doc_id nulls last) as rank, doc_id, score from scores join docs using (d) where score > 0)
+        select query_id, rank, doc_id, score from ranked where rank <= 10"""

@@ -33,6 +33,7 @@ ORACLES = {
                case when payload_bytes >= 100 and page_id > first then 'revisit' else 'response' end as record_type,
                case when payload_bytes >= 100 and page_id > first then first end as refers_to
         from sized""",
+    "op7_bm25_topk": oracles.bm25_topk(),
     "op11_treap_search": oracles.ranked_search(),
     "op13_merkle_climb": oracles.merkle(),
 }

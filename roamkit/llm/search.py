@@ -5,12 +5,18 @@ postings, by term, then document; documents are numbered within the shard, and b
 runs of ``BLOCK`` documents.  Document frequencies, the number of documents and their mean
 length are summed over all shards, so that scores are the same whatever the sharding.
 
-Search: a task holds one shard and a block of queries.  For a query, the sum over its
-terms of idf times the largest impact in a block bounds every score in the block.  Blocks
-are taken from the highest bound down, a few at a time; their documents are scored in
-full, the k-th best score so far is the threshold, and the search ends at the first block
-whose bound is below it (block-max WAND with its pivot test made for a whole block of
-documents).  Shards' lists merge exactly, as the scores are global.
+Search: a task holds files of at most about ``SHARD_POSTINGS`` postings as one shard, and a
+block of queries.  A first pass scores, for every query and shard, documents that the query's
+rarer terms point to; the k-th best of these over all shards is a lower bound of the query's
+k-th score.  The second pass starts from it.  Lists whose largest scores (idf times largest
+impact) add up to less than this threshold can't make a result by themselves, so the postings
+of these, the common terms, are not walked through: only documents of the other lists are
+candidates (the pivot of WAND, taken for whole lists).  A candidate's bound is what the walked
+lists give it and, for the others, the largest impacts of its block of ``BLOCK`` documents
+(block-max).  Those that stay are looked up in the common lists, from the list with the
+largest score down; the k-th best sum so far raises the threshold, and a candidate goes once
+its sum and all that is left stay below it.  Shards' lists merge exactly, as the scores are
+global.  Queries with the same terms are searched once.
 
 Terms are runs of letters and digits, lower-cased, known by 64-bit hash.  A query is the set
 of the terms of its whole text.  Scores are rounded to ``DIGITS`` digits and ties go to the
@@ -19,8 +25,9 @@ smaller doc_id.
 Defined cases: NULL text counts as empty; a document without terms is found by no query, and
 a query without terms finds nothing; only documents that share a term are found, so a query
 may have fewer than k rows; rows without a doc_id are found but rank last among ties; rows
-that share a doc_id are documents of their own; an empty table gives no rows; columns other
-than doc_id and text are ignored.
+that share a doc_id are documents of their own; queries that share a query_id are one query
+with the terms of all; an empty table gives no rows; columns other than doc_id and text are
+ignored.
 """
 
 from __future__ import annotations
@@ -36,11 +43,17 @@ from pyspark.sql import functions as F
 
 from roamkit.llm.shared import let, open_store, python_tasks, run_dir, stage
 
-K1, B, BLOCK, DIGITS, TAKE = 1.2, 0.75, 32, 6, 8
-#: Bound on a shard: 12 bytes a posting on disk, about 40 in a task.
+K1, B, BLOCK, DIGITS = 1.2, 0.75, 32, 6
+#: What a score may be below a threshold and still be equal to it once rounded.
+SLACK = 10.0**-DIGITS
+#: Bound on a file, and on the files that a task searches as one: 8 bytes a posting on disk, about 50 in a task.
 SHARD_POSTINGS = 6_000_000
-#: Terms of queries that a search task holds at once.
-QUERY_TERMS = 200_000
+#: Terms of queries that a search task holds at once, 16 bytes each.
+QUERY_TERMS = 1_000_000
+#: Lists up to this length are walked together, longer ones each by itself.
+SHORT = 1_000
+#: For a query's first threshold: the share of its postings that is walked, and the documents completed for each of k.
+SEED_SHARE, SEEDS = 0.2, 4
 NO_DOC = -(2**63)
 
 
@@ -109,46 +122,111 @@ def document_frequencies(shards: DataFrame, folder: str) -> DataFrame:
 
 
 class Shard:
-    def __init__(self, z: dict[str, np.ndarray], mean: float):
-        self.doc_id, self.term, self.start, self.doc = z["doc_id"], z["term"], z["start"], z["doc"]
-        length = z["length"][self.doc]
-        self.impact = z["count"] * (K1 + 1) / (z["count"] + K1 * (1 - B + B * length / mean))
+    """The postings of some files, by term and by document."""
+
+    def __init__(self, files: list[dict[str, np.ndarray]], mean: float):
+        first = np.cumsum([0, *(len(z["doc_id"]) for z in files)])
+        self.doc_id = np.concatenate([z["doc_id"] for z in files])
+        self.tie = np.where(self.doc_id == NO_DOC, np.iinfo(np.int64).max, self.doc_id)
+        self.term = np.unique(np.concatenate([z["term"] for z in files]))
+        term = np.concatenate([np.repeat(np.searchsorted(self.term, z["term"]).astype(np.int32), np.diff(z["start"])) for z in files])
+        doc = np.concatenate([z["doc"] + np.int32(n) for z, n in zip(files, first, strict=False)])
+        count = np.concatenate([z["count"] for z in files])
+        length = np.concatenate([z["length"] for z in files])[doc]
+        impact = count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean))
+        order = np.argsort(term, kind="stable")  # files are sorted by term: a merge
+        term, self.doc, self.impact = term[order], doc[order], impact[order]
+        self.start = np.searchsorted(term, np.arange(len(self.term) + 1))
+        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(term) else np.zeros(0)
         # blocks: runs of postings of one term in BLOCK neighbouring documents
-        term_of = np.repeat(np.arange(len(self.term)), np.diff(self.start))
         block = self.doc // BLOCK
-        new = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (term_of[1:] != term_of[:-1])][: len(block)])
-        self.block, self.block_start = block[new], np.r_[new, len(block)]
+        new = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (term[1:] != term[:-1])][: len(block)])
+        self.block = block[new]
         self.block_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
         self.block_of_term = np.searchsorted(new, self.start)
         self.blocks = len(self.doc_id) // BLOCK + 1
+        self.spread = np.zeros(len(self.doc_id))  # scratch of look_up
 
-    def search(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents (places in the shard) and their scores, best first."""
-        at = np.searchsorted(self.term, terms)
-        at = np.minimum(at, len(self.term) - 1)
+    def places(self, terms: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places of those terms that the shard holds, their weights and the lengths of their lists."""
+        at = np.minimum(np.searchsorted(self.term, terms), len(self.term) - 1)
         here = self.term[at] == terms
-        at, idf = at[here], idf[here]
-        a, b = self.block_of_term[at], self.block_of_term[at + 1]
-        entry, weight = ranges(a, b), np.repeat(idf, b - a)
-        bound = np.bincount(self.block[entry], weight * self.block_max[entry], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        docs, scores, least, done, take = np.zeros(0, np.int64), np.zeros(0), -1.0, 0, TAKE
-        while done < len(order) and bound[order[done]] >= least - 10.0**-DIGITS:
-            chosen = np.zeros(self.blocks, bool)
-            part = order[done : done + take]
-            chosen[part[bound[part] >= least - 10.0**-DIGITS]] = True
-            done, take = done + take, take * 2
-            mine = chosen[self.block[entry]]
-            s, e = self.block_start[entry[mine]], self.block_start[entry[mine] + 1]
-            posting = ranges(s, e)
-            got, place = np.unique(self.doc[posting], return_inverse=True)
-            sums = np.round(np.bincount(place, np.repeat(weight[mine], e - s) * self.impact[posting], len(got)), DIGITS)
-            docs, scores = np.r_[docs, got], np.r_[scores, sums]
-            best = np.lexsort((self.doc_id[docs], -scores))[:k]
-            docs, scores = docs[best], scores[best]
-            least = scores[-1] if len(scores) == k else -1.0
-        return docs, scores
+        at = at[here]
+        return at, idf[here], self.start[at + 1] - self.start[at]
+
+    def walk(self, at: np.ndarray, idf: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Each document's score by the given terms alone."""
+        short = n <= SHORT
+        a, b = self.start[at[short]], self.start[at[short] + 1]
+        posting = ranges(a, b)
+        got = np.bincount(self.doc[posting], np.repeat(idf[short], b - a) * self.impact[posting], len(self.doc_id)).astype(np.float64)
+        for t, w in zip(at[~short], idf[~short], strict=True):
+            span = slice(self.start[t], self.start[t + 1])
+            got[self.doc[span]] += w * self.impact[span]
+        return got
+
+    def look_up(self, t: int, docs: np.ndarray) -> np.ndarray:
+        """The impacts of one term in the given documents (ascending), 0 where it is not."""
+        span = slice(self.start[t], self.start[t + 1])
+        own = self.doc[span]
+        if len(own) < 8 * len(docs):
+            self.spread[own] = self.impact[span]
+            found = self.spread[docs]
+            self.spread[own] = 0
+            return found
+        place = np.minimum(np.searchsorted(own, docs), len(own) - 1)
+        return np.where(own[place] == docs, self.impact[span][place], 0.0)
+
+    def seeds(self, terms: np.ndarray, idf: np.ndarray, k: int) -> np.ndarray:
+        """k scores of documents (fewer if there are not so many) that the rarer terms point to, best first."""
+        at, idf, n = self.places(terms, idf)
+        rare = np.argsort(n, kind="stable")
+        cut = 1 + np.searchsorted(np.cumsum(n[rare]), max(SEEDS * k, SEED_SHARE * n.sum()))
+        got = self.walk(at[rare[:cut]], idf[rare[:cut]], n[rare[:cut]])
+        docs = np.flatnonzero(got)
+        if len(docs) > SEEDS * k:
+            docs = np.sort(docs[np.argpartition(-got[docs], SEEDS * k)[: SEEDS * k]])
+        sums = got[docs]
+        for t, w in zip(at[rare[cut:]], idf[rare[cut:]], strict=True):
+            sums += w * self.look_up(t, docs)
+        return np.sort(np.round(sums, DIGITS))[::-1][:k]
+
+    def search(self, terms: np.ndarray, idf: np.ndarray, k: int, least: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
+        """The k best documents (places in the shard) with at least the score ``least``, and their scores, best first."""
+        at, idf, n = self.places(terms, idf)
+        top = idf * self.most[at]
+        order = np.argsort(top / n, kind="stable")  # most postings for the least bound first
+        cut = np.searchsorted(np.cumsum(top[order]), least - SLACK)
+        common, walked = order[:cut], order[cut:]
+        got = self.walk(at[walked], idf[walked], n[walked])
+        docs = np.flatnonzero(got)
+        left = top[common].sum()
+
+        def raised(sums: np.ndarray, least: float) -> float:
+            return max(least, np.partition(sums, -k)[-k]) if len(sums) >= k else least
+
+        def those(stay: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return docs[stay], sums[stay]
+
+        sums = got[docs]
+        least = raised(sums, least)
+        docs, sums = those(sums + left >= least - SLACK)
+        if len(common) and len(docs) > k:
+            a, b = self.block_of_term[at[common]], self.block_of_term[at[common] + 1]
+            entry = ranges(a, b)
+            most = np.bincount(self.block[entry], np.repeat(idf[common], b - a) * self.block_max[entry], self.blocks)
+            docs, sums = those(sums + most[docs // BLOCK] >= least - SLACK)
+        for i, c in enumerate(common[np.argsort(-top[common], kind="stable")]):
+            if not len(docs):
+                break
+            sums += idf[c] * self.look_up(at[c], docs)
+            left -= top[c]
+            if i % 4 == 0:
+                least = raised(sums, least)
+                docs, sums = those(sums + left >= least - SLACK)
+        sums = np.round(sums, DIGITS)
+        best = np.lexsort((self.tie[docs], -sums))[:k]
+        return docs[best], sums[best]
 
 
 def ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -157,53 +235,80 @@ def ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, rank, doc_id, score): the k best rows of ``docs`` for each query (query_id, text)."""
-    spark = docs.sparkSession
-    folder = run_dir(spark, "inverted")
-    shards = stage(write_index(docs, folder), "shards")
-    total = shards.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms"), F.count("*").alias("shards")).first()
-    n, mean = total["docs"] or 0, max(1.0, (total["terms"] or 0) / max(1, total["docs"] or 0))
-    asked = queries.select("query_id", F.explode(F.array_distinct(hashed_terms(F.col("text")))).alias("term"))
-    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = asked.join(document_frequencies(shards, folder), "term").select("query_id", "term", idf.alias("idf"))
-    weighed = weighed.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("t"))
-    weighed = stage(weighed.select("query_id", F.col("t.term").alias("terms"), F.col("t.idf").alias("idf")), "queries")
-    asked_terms = weighed.agg(F.sum(F.size("terms"))).first()[0] or 0
-    parts = max(1, -(-asked_terms // QUERY_TERMS))
-
-    def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Write a task's queries to a file, for every shard to read."""
+def write_blocks(queries: DataFrame, folder: str, parts: int, name: str) -> DataFrame:
+    """Write queries (query, terms, idf, least) to ``parts`` files, for every shard to read; their names."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = open_store(folder)
         held = [pdf for pdf in batches if len(pdf)]
         if held:
             path, rows = f"{root}/{uuid.uuid4().hex}-queries.npz", pd.concat(held)
             cut = np.cumsum([0, *map(len, rows["terms"])])
-            _save(store, path, query_id=rows["query_id"].to_numpy(), cut=cut, terms=np.concatenate(list(rows["terms"])), idf=np.concatenate(list(rows["idf"])))
+            _save(store, path, query=rows["query"].to_numpy(), least=rows["least"].to_numpy(np.float64), cut=cut, terms=np.concatenate(list(rows["terms"])), idf=np.concatenate(list(rows["idf"])))
             yield pd.DataFrame({"queries": [path]})
 
-    blocks = stage(weighed.repartition(parts).mapInPandas(block, "queries string"), "query-blocks")
+    return stage(queries.repartition(parts).mapInPandas(write, "queries string"), name)
 
+
+def each_shard(groups: DataFrame, blocks: DataFrame, folder: str, parts: int, ask, columns: dict[str, str]) -> DataFrame:
+    """``ask(shard, query, terms, idf, least)`` gives rows of ``columns``; run for every query in every shard.
+
+    What is paired are names of files: every shard is searched for every block of queries.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = open_store(folder)
         for pdf in batches:
-            for path, own in pdf.groupby("path")["queries"]:
-                shard = Shard(_load(store, path), mean)
-                for name in own:
-                    q, rows = _load(store, name), []
-                    for i, query_id in enumerate(q["query_id"]):
-                        span = slice(q["cut"][i], q["cut"][i + 1])
-                        found, scores = shard.search(q["terms"][span], q["idf"][span], k) if len(shard.term) else ([], [])
-                        rows += [(query_id, shard.doc_id[d], s) for d, s in zip(found, scores, strict=True)]
-                    yield pd.DataFrame(rows, columns=["query_id", "doc_id", "score"]).astype({"query_id": "int64", "doc_id": "int64", "score": "float64"})
-
-    # names of files only: every shard is searched for every block of queries
-    names = blocks.agg(F.collect_list("queries").alias("queries"))
-    tasks = shards.select("path", F.lit(1).alias("one")).join(F.broadcast(names.withColumn("one", F.lit(1))), "one").select("path", F.explode("queries").alias("queries"))
-    found = tasks.repartition(max(1, (total["shards"] or 0) * parts), "path", "queries").mapInPandas(run, "query_id long, doc_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), (F.col("doc_id") == NO_DOC), "doc_id"))
-    best = found.withColumn("rank", rank).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", F.when(F.col("doc_id") != NO_DOC, F.col("doc_id")).alias("doc_id"), "score")
+            for paths, mean, name in zip(pdf["paths"], pdf["mean"], pdf["queries"], strict=True):
+                shard, q, rows = Shard([_load(store, p) for p in sorted(paths)], mean), _load(store, name), []
+                for i, query in enumerate(q["query"]):
+                    span = slice(q["cut"][i], q["cut"][i + 1])
+                    rows += ask(shard, query, q["terms"][span], q["idf"][span], q["least"][i]) if len(shard.term) else []
+                yield pd.DataFrame(rows, columns=list(columns)).astype(columns)
+
+    names = blocks.agg(F.collect_list("queries").alias("queries")).withColumn("one", F.lit(1))
+    tasks = groups.withColumn("one", F.lit(1)).join(F.broadcast(names), "one").select("paths", "mean", F.explode("queries").alias("queries"))
+    schema = ", ".join(f"{c} {'long' if t == 'int64' else 'double'}" for c, t in columns.items())
+    return tasks.repartition(max(1, groups.count() * parts)).mapInPandas(run, schema)
+
+
+def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+    """(query_id, rank, doc_id, score): the k best rows of ``docs`` for each query (query_id, text)."""
+    spark = docs.sparkSession
+    folder = run_dir(spark, "inverted")
+    shards = stage(write_index(docs, folder), "shards")
+    total = shards.agg(F.sum("docs").alias("docs"), F.sum("terms").alias("terms")).first()
+    n, mean = total["docs"] or 0, max(1.0, (total["terms"] or 0) / max(1, total["docs"] or 0))
+    # small files are searched together: a running sum over the files' names and sizes
+    end = F.sum("postings").over(Window.orderBy("path"))
+    groups = shards.select("path", F.floor((end - F.col("postings") / 2) / SHARD_POSTINGS).alias("group")).groupBy("group")
+    groups = stage(groups.agg(F.collect_list("path").alias("paths")).select("paths", F.lit(mean).alias("mean")), "groups")
+
+    asked = queries.select("query_id", F.explode(F.array_distinct(hashed_terms(F.col("text")))).alias("term")).distinct()
+    idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighed = asked.hint("merge").join(document_frequencies(shards, folder), "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("idf")))).alias("t"))
+    text_key = F.sha2(F.concat_ws(",", F.col("t.term").cast("array<string>")), 256)
+    weighed = stage(weighed.select("query_id", text_key.alias("text_key"), F.col("t.term").alias("terms"), F.col("t.idf").alias("idf")), "queries")
+    once = weighed.groupBy("text_key").agg(F.min("query_id").alias("query"))
+    members = stage(weighed.select("query_id", "text_key").join(once, "text_key").select("query_id", "query"), "members")
+    once = members.where("query = query_id").select("query").join(weighed, F.col("query") == F.col("query_id")).select("query", "terms", "idf")
+    asked_terms = once.agg(F.sum(F.size("terms"))).first()[0] or 0
+    parts = max(1, -(-asked_terms // QUERY_TERMS))
+
+    def seeds(shard: Shard, query: int, terms: np.ndarray, idf: np.ndarray, least: float) -> list[tuple]:
+        return [(query, s) for s in shard.seeds(terms, idf, k)]
+
+    def best(shard: Shard, query: int, terms: np.ndarray, idf: np.ndarray, least: float) -> list[tuple]:
+        docs, scores = shard.search(terms, idf, k, least)
+        return [(query, shard.doc_id[d], s) for d, s in zip(docs, scores, strict=True)]
+
+    blocks = write_blocks(once.withColumn("least", F.lit(-1.0)), folder, parts, "seed-blocks")
+    seen = each_shard(groups, blocks, folder, parts, seeds, {"query": "int64", "score": "float64"})
+    kth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    least = stage(seen.withColumn("rank", kth).where(F.col("rank") <= k).groupBy("query").agg(F.when(F.count("*") == k, F.min("score")).alias("least")), "thresholds")
+    blocks = write_blocks(once.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(-1.0))), folder, parts, "query-blocks")
+    found = each_shard(groups, blocks, folder, parts, best, {"query": "int64", "doc_id": "int64", "score": "float64"})
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), (F.col("doc_id") == NO_DOC), "doc_id"))
+    ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.join(members, "query").select("query_id", "rank", F.when(F.col("doc_id") != NO_DOC, F.col("doc_id")).alias("doc_id"), "score")
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -231,6 +231,36 @@ def test_search_against_brute_force(spark, edges):
     assert search.search(edges, edges.select(F.col("doc_id").alias("query_id"), "text").where("doc_id = 1")).count() > 0
 
 
+def test_pruned_search_is_exact():
+    """Common and rare terms, many equal documents, files searched as one: any threshold up to the k-th score gives the k best."""
+    rng = np.random.default_rng(6)
+    lists = [sorted(int(x) for x in rng.zipf(1.3, 60) if x < 4000) for _ in range(3000)]
+    lists += [lists[7]] * 40
+    files = []
+    for part in (lists[:1000], lists[1000:]):
+        term, count = zip(*(np.unique(np.array(x, np.int64), return_counts=True) for x in part), strict=True)
+        doc, term, count = np.repeat(np.arange(len(part), dtype=np.int32), [len(t) for t in term]), np.concatenate(term), np.concatenate(count)
+        order = np.argsort(term, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(term[order]) != 0])
+        ids = np.arange(len(part), dtype=np.int64) + 1000 * len(files)
+        files.append({"doc_id": ids, "length": np.array([len(x) for x in part], np.int32), "term": term[order][first], "start": np.r_[first, len(term)], "doc": doc[order], "count": count[order].astype(np.int32)})
+    shard = search.Shard(files, 50.0)
+    df = np.diff(shard.start)
+    for q in (0, 7, 1500, 2999):
+        terms = np.unique(np.array(lists[q], np.int64))
+        idf = np.log1p((3040 - df + 0.5) / (df + 0.5))[np.searchsorted(shard.term, terms)]
+        full = np.zeros(3040)
+        for t, w in zip(np.searchsorted(shard.term, terms), idf, strict=True):
+            full += w * shard.look_up(t, np.arange(3040))
+        full = np.round(full, search.DIGITS)
+        want = np.lexsort((np.arange(3040), -full))[:10]
+        seeds = shard.seeds(terms, idf, 10)
+        assert len(seeds) == 10 and seeds[-1] <= full[want[-1]]
+        for least in (-1.0, seeds[-1], full[want[-1]]):
+            docs, scores = shard.search(terms, idf, 10, least)
+            assert docs.tolist() == want.tolist() and np.allclose(scores, full[want], atol=2e-6)
+
+
 def test_shards(edges, spark):
     got = rows_of(sharding.op8(edges))
     assert len(got) == edges.count() and all(r["size"] >= 1 for r in got)
