@@ -44,6 +44,30 @@ def test_secrets(spark, edges):
     assert clean.where("doc_id is null").first()["text"] == "no id but password=[SECRET] in it"
 
 
+def test_candidates_have_their_places(spark):
+    """Short and mixed passwords, logins, runs; a run inside a longer one is none of its own; texts of many candidates."""
+    texts = ['password=hunter2 and "pwd": "S3cr3t!pass@2024"; go', "see https://user:pa55w0rd@host/x", "abcd1234efgh5678ZZZZ then abcd1234efgh5678 \x01 é abcd1234efgh5678", "mail bob:onlyletters@host; token: letters",
+             " ".join(f"key{k}x9 w" for k in range(10_000, 11_000)), "", None, "nothing here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit(None).cast("string"))
+    got = collections.defaultdict(list)
+    for r in secret_scan.findings(docs).collect():
+        got[r["doc_id"]].append((r["start"], r["candidate"]))
+        text = texts[r["doc_id"]]
+        assert text[r["start"] - 1 :].startswith(r["candidate"])
+        assert (r["before"] or r["start"] == 1) and (r["after"] or text.endswith(r["candidate"]))
+        assert text[: r["start"] - 1].endswith(r["before"]) or "\x01" in text
+        assert text[r["start"] - 1 + len(r["candidate"]) :].startswith(r["after"]) or "\x01" in text
+    assert sorted(got[0]) == [(10, "hunter2"), (30, "S3cr3t!pass@2024")]
+    assert got[1] == [(18, "pa55w0rd")] and sorted(got[3]) == [(10, "onlyletters"), (35, "letters")]
+    assert sorted(got[2]) == [(1, "abcd1234efgh5678ZZZZ"), (27, "abcd1234efgh5678"), (48, "abcd1234efgh5678")]
+    assert sorted(got[4]) == [(m.start() + 1, m.group()) for m in re.finditer(r"key\d+x9", texts[4])]
+    assert set(got) == {0, 1, 2, 3, 4}
+    every = secret_scan.judged(secret_scan.featured(secret_scan.findings(docs)), None)
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.masked(docs.withColumn("places", F.lit(1)), every).collect()}
+    assert clean[0] == 'password=[SECRET] and "pwd": "[SECRET]"; go' and clean[1] == "see https://user:[SECRET]@host/x"
+    assert clean[2] == "[SECRET] then [SECRET] \x01 é [SECRET]" and clean[6] is None and clean[7] == "nothing here"
+
+
 def test_forest_tells_findings_apart(spark):
     rng = np.random.default_rng(0)
     texts = []
