@@ -19,8 +19,8 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Chunks kept by a worker, about 200 bytes each.
-KEPT = 300_000
+#: Entries kept in each table of a worker, about 200 bytes each; of chunks of a word vocabulary more, as each text brings new ones.
+KEPT, KEPT_CHUNKS = 300_000, 1_000_000
 #: Characters for which all libraries agree on case, classes and normal form.
 PLAIN = re.compile("[^\t-\r -~\xa0-įı-ɏ‐-‧‰-›]|<\\|")
 #: The pre-tokenizer pattern of byte_bpe_50k.json.
@@ -73,22 +73,26 @@ class Encoder:
         if not self.by_word:
             return [self._by_library(t) if o else self.merge(t).tobytes() for t, o in zip(texts, odd, strict=True)]
         chunks = [[] if o else t.lower().split() for t, o in zip(texts, odd, strict=True)]
-        ids = self._chunk_ids(set().union(*chunks))
-        return [self._by_library(t) if o else b"".join(map(ids.__getitem__, c)) for t, o, c in zip(texts, odd, chunks, strict=True)]
+        made = self._keep(set().union(*chunks))
+        try:
+            ids = self.kept.__getitem__
+            return [self._by_library(t) if o else b"".join(map(ids, c)) for t, o, c in zip(texts, odd, chunks, strict=True)]
+        finally:
+            if len(self.kept) > KEPT_CHUNKS:
+                for c in made:
+                    del self.kept[c]
 
     def _by_library(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _chunk_ids(self, chunks: set[str]) -> dict[str, bytes]:
-        """Packed ids of each chunk; those not kept are merged in one go, a line each."""
-        new = list(chunks - self.kept.keys())
-        got = self.merge(self.split.sub("\\g<0>" + END, "\n".join(new)) + "\n") if new else []
-        ends, data = (np.flatnonzero(got == self.line_id) * 4).tolist(), got.tobytes() if new else b""
-        made = dict(zip(new, (data[a:b] for a, b in zip([0, *(x + 4 for x in ends)], ends)), strict=True))
-        if len(self.kept) + len(made) <= KEPT:
-            self.kept.update(made)
-            return self.kept
-        return {c: self.kept[c] for c in chunks & self.kept.keys()} | made
+    def _keep(self, chunks: set[str]) -> list[str]:
+        """Put the packed ids of each chunk into ``kept`` and return the new chunks; these are merged in one go, a line each."""
+        new = list(chunks.difference(self.kept))
+        if new:
+            got = self.merge(self.split.sub("\\g<0>" + END, "\n".join(new)) + "\n")
+            ends, data = (np.flatnonzero(got == self.line_id) * 4).tolist(), got.tobytes()
+            self.kept.update(zip(new, map(data.__getitem__, map(slice, [0, *(x + 4 for x in ends[:-1])], ends)), strict=True))
+        return new
 
 
 @cache

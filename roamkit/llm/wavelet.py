@@ -34,6 +34,8 @@ from roamkit.llm.tokens import encoder
 MAGIC, BLOCK = b"WAVELET1", 512
 #: Ids a file holds before the task starts the next one: bounds the memory of a task.
 FILE_IDS = 16_000_000
+#: Texts encoded at a time, so that their words stay in the processor's cache.
+TEXTS = 500
 
 
 class WaveletMatrix:
@@ -47,11 +49,14 @@ class WaveletMatrix:
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, ones = [], []
         for k in reversed(range(bits)):
-            b = (ids >> k) & 1 == 1
+            b = (ids & ids.dtype.type(1 << k)).astype(bool)
             p = np.packbits(b)
             planes.append(p)
             ones.append(cls.counts(p))
-            ids = np.concatenate([ids[~b], ids[b]])
+            parted, zeros = np.empty_like(ids), len(ids) - int(ones[-1][-1])
+            np.compress(~b, ids, out=parted[:zeros])
+            np.compress(b, ids, out=parted[zeros:])
+            ids = parted
         return cls(len(ids), planes, ones)
 
     @staticmethod
@@ -121,12 +126,18 @@ class WaveletMatrix:
         return values
 
 
+def compressed(part: bytes) -> bytes:
+    """A zlib stream of runs and Huffman codes: planes have few longer matches, and the search for them costs the most."""
+    z = zlib.compressobj(1, strategy=zlib.Z_RLE)
+    return z.compress(part) + z.flush()
+
+
 def to_bytes(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
     w = WaveletMatrix.build(ids)
     known = np.array([d is not None for d in doc_ids], np.uint8)
     parts = [np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes(), known.tobytes(), lengths.astype("<u4").tobytes()]
     parts += [p.tobytes() + o.astype("<u4").tobytes() for p, o in zip(w.planes, w.ones, strict=True)]
-    packed = [zlib.compress(p, 1) for p in parts]
+    packed = [compressed(p) for p in parts]
     head = struct.pack(f"<{3 + len(packed)}Q", w.n, len(doc_ids), len(w.planes), *map(len, packed))
     return MAGIC + head + b"".join(packed)
 
@@ -172,7 +183,8 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int) ->
 
         for pdf in batches:
             part = int(pdf["part"].iloc[0]) if len(pdf) else part
-            ids = [x + end for x in encode(pdf["text"].tolist())]
+            texts = pdf["text"].tolist()
+            ids = [x + end for a in range(0, len(texts), TEXTS) for x in encode(texts[a : a + TEXTS])]
             for doc_id, x in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), ids, strict=True):
                 doc_ids.append(None if doc_id is None else int(doc_id))
                 data.append(x)

@@ -445,3 +445,31 @@ def test_pipeline(spark, edges, labels, tmp_path):
     kept = [r["doc_id"] for r in docs.collect()]
     assert len(kept) == len(set(kept))
     assert {r["doc_id"] for r in p.STAGES[4][1](spark, docs, str(tmp_path)).select("doc_id").collect()} == set(kept)
+
+
+def test_chunk_table_is_bounded_and_ids_stay(monkeypatch):
+    """A full table gives the same ids, and keeps nothing of the batch that would overfill it."""
+    import public_tokenizers
+
+    from roamkit.llm import tokens
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["one two, three", "two four", "", "x\ty  z.", "four five"]
+    free, full = tokens.Encoder(path), tokens.Encoder(path)
+    want = free.encode(texts)
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 3)
+    assert [full.encode([t])[0] for t in texts] == want == full.encode(texts)
+    assert set(full.kept) == {"one", "two,", "three"}
+
+
+def test_files_of_planes_are_run_length_streams():
+    """Parts are plain zlib streams, no larger than those with a search for matches."""
+    import zlib
+
+    import numpy as np
+
+    from roamkit.llm import wavelet
+    ids = np.random.default_rng(1).zipf(1.3, 60_000) % 49_000
+    data = wavelet.to_bytes([1], np.array([len(ids)]), ids)
+    assert (wavelet.from_bytes(data)[2].tokens() == ids).all()
+    planes = wavelet.WaveletMatrix.build(ids).planes
+    assert sum(len(wavelet.compressed(p.tobytes())) for p in planes) < sum(len(zlib.compress(p.tobytes(), 1)) for p in planes)
