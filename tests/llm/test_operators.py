@@ -473,3 +473,19 @@ def test_files_of_planes_are_run_length_streams():
     assert (wavelet.from_bytes(data)[2].tokens() == ids).all()
     planes = wavelet.WaveletMatrix.build(ids).planes
     assert sum(len(wavelet.compressed(p.tobytes())) for p in planes) < sum(len(zlib.compress(p.tobytes(), 1)) for p in planes)
+
+
+def test_rejected_keys_are_broadcast_by_their_written_size(spark):
+    """However low Spark's own threshold, texts aren't shuffled to drop a few keys."""
+    import corpus_pipeline
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "web") for i in range(40)] + [(None, None, None, None)], "doc_id long, text string, lang string, source string")
+    keys = docs.where("doc_id % 2 = 0").select(corpus_pipeline.row_key(docs).alias("doc_id"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        left = corpus_pipeline.without(docs, keys, "some")
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted([*range(1, 40, 2), None], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
