@@ -1,22 +1,23 @@
-"""Exact BM25 top-k by an inverted index per shard, with block-max pruning.
+"""Exact BM25 top-k by an inverted index per shard: common terms as a matrix, the others as lists.
 
 Index: each scan task turns its documents into files of at most ``SHARD_POSTINGS``
-postings, by term, then document; documents are numbered within the shard, and blocks are
-runs of ``BLOCK`` documents.  Document frequencies, the number of documents and their mean
-length are summed over all shards, so that scores are the same whatever the sharding.
-
-Search: a task holds files of at most about ``SHARD_POSTINGS`` postings as one shard, and a
-block of queries.  A first pass scores, for every query and shard, documents that the query's
-rarer terms point to; the k-th best of these over all shards is a lower bound of the query's
-k-th score.  The second pass starts from it.  Lists whose largest scores (idf times largest
-impact) add up to less than this threshold can't make a result by themselves, so the postings
-of these, the common terms, are not walked through: only documents of the other lists are
-candidates (the pivot of WAND, taken for whole lists).  A candidate's bound is what the walked
-lists give it and, for the others, the largest impacts of its block of ``BLOCK`` documents
-(block-max).  Those that stay are looked up in the common lists, from the list with the
-largest score down; the k-th best sum so far raises the threshold, and a candidate goes once
-its sum and all that is left stay below it.  Shards' lists merge exactly, as the scores are
-global.  Queries with the same terms are searched once.
+postings, by term, then document; documents are numbered within the shard.  Document
+frequencies, the number of documents and their mean length are summed over all shards, so
+that scores are the same whatever the sharding.
+
+Search: a task holds files of at most about ``SHARD_POSTINGS`` postings as one shard, and
+blocks of queries one after another.  The terms that at least ``COMMON`` of the shard's
+documents hold, most of all postings, are a matrix of impacts by term and document, in single
+precision; a batch of queries is multiplied with it at once.  The lists of the other terms are
+walked query by query and added.  What single precision may have lost is bounded, so the
+documents that can be among the k best are known; these alone are scored again, in double
+precision, from the postings by document.  No document is left out otherwise.
+
+If there are ``LEAD`` shards or more, a first pass searches one of ``LEAD``: the k-th best score
+there is a lower bound of the query's k-th score, and the second pass, over all shards, gives
+only documents that reach it.  So a query brings about k times ``LEAD`` rows to the merge,
+however many shards there are.  Shards' lists merge exactly, as the scores are global.
+Queries with the same terms are searched once.
 
 Terms are runs of letters and digits, lower-cased, known by 64-bit hash.  A query is the set
 of the terms of its whole text.  Scores are rounded to ``DIGITS`` digits and ties go to the
@@ -34,7 +35,7 @@ from __future__ import annotations
 
 import io
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from roamkit.llm.shared import let, open_store, python_tasks, run_dir, stage
 
-K1, B, BLOCK, DIGITS = 1.2, 0.75, 32, 6
+K1, B, DIGITS = 1.2, 0.75, 6
 #: What a score may be below a threshold and still be equal to it once rounded.
 SLACK = 10.0**-DIGITS
 #: Bound on a file, and on the files that a task searches as one: 8 bytes a posting on disk, about 50 in a task.
@@ -52,8 +53,14 @@ SHARD_POSTINGS = 6_000_000
 QUERY_TERMS = 1_000_000
 #: Lists up to this length are walked together, longer ones each by itself.
 SHORT = 1_000
-#: For a query's first threshold: the share of its postings that is walked, and the documents completed for each of k.
-SEED_SHARE, SEEDS = 0.2, 4
+#: A term is in the matrix from this share of a shard's documents on, and this many; the matrix's numbers at most.
+COMMON, LISTED, MATRIX = 0.05, 32, 16_000_000
+#: Scores (or weights) that a batch of queries may have at once, and postings that are scored again at once.
+SCORES = 2_000_000
+#: Queries whose rows leave a search task together, and blocks of queries that a task takes.
+ROWS_OF, TASK_BLOCKS = 2_000, 16
+#: One of so many shards is searched for the first thresholds.
+LEAD = 8
 NO_DOC = -(2**63)
 
 
@@ -124,7 +131,8 @@ def document_frequencies(shards: DataFrame, folder: str) -> DataFrame:
 class Shard:
     """The postings of some files, by term and by document."""
 
-    def __init__(self, files: list[dict[str, np.ndarray]], mean: float):
+    def __init__(self, files: Iterable[dict[str, np.ndarray]], mean: float):
+        files = list(files)
         first = np.cumsum([0, *(len(z["doc_id"]) for z in files)])
         self.doc_id = np.concatenate([z["doc_id"] for z in files])
         self.tie = np.where(self.doc_id == NO_DOC, np.iinfo(np.int64).max, self.doc_id)
@@ -133,19 +141,30 @@ class Shard:
         doc = np.concatenate([z["doc"] + np.int32(n) for z, n in zip(files, first, strict=False)])
         count = np.concatenate([z["count"] for z in files])
         length = np.concatenate([z["length"] for z in files])[doc]
+        del files
         impact = count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean))
         order = np.argsort(term, kind="stable")  # files are sorted by term: a merge
         term, self.doc, self.impact = term[order], doc[order], impact[order]
         self.start = np.searchsorted(term, np.arange(len(self.term) + 1))
-        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if len(term) else np.zeros(0)
-        # blocks: runs of postings of one term in BLOCK neighbouring documents
-        block = self.doc // BLOCK
-        new = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (term[1:] != term[:-1])][: len(block)])
-        self.block = block[new]
-        self.block_max = np.maximum.reduceat(self.impact, new) if len(new) else np.zeros(0)
-        self.block_of_term = np.searchsorted(new, self.start)
-        self.blocks = len(self.doc_id) // BLOCK + 1
+        del doc, count, length, impact, order
         self.spread = np.zeros(len(self.doc_id))  # scratch of look_up
+        # the same postings by document, each document's in the order of the terms
+        by_doc = np.argsort(self.doc, kind="stable")
+        self.terms_of, self.impact_of = term[by_doc], self.impact[by_doc]
+        self.start_of = np.cumsum(np.r_[0, np.bincount(self.doc, minlength=len(self.doc_id))])
+        del by_doc, term
+        self.weight = np.zeros(len(self.term))  # scratch of score
+        held = np.diff(self.start)
+        rows = np.argsort(-held, kind="stable")[: MATRIX // max(1, len(self.doc_id))]
+        rows = rows[held[rows] >= max(LISTED, COMMON * len(self.doc_id))]
+        self.row = np.full(len(self.term), -1)
+        self.row[rows] = np.arange(len(rows))
+        self.matrix = np.zeros((len(rows), len(self.doc_id)), np.float32)
+        for i, t in enumerate(rows):
+            span = slice(self.start[t], self.start[t + 1])
+            self.matrix[i, self.doc[span]] = self.impact[span]
+        # sums of n products of single precision, none negative: off by n + 2 roundings of 2 ** -24 at most
+        self.error = (len(rows) + 8) * 2.0**-24
 
     def places(self, terms: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The places of those terms that the shard holds, their weights and the lengths of their lists."""
@@ -177,56 +196,53 @@ class Shard:
         place = np.minimum(np.searchsorted(own, docs), len(own) - 1)
         return np.where(own[place] == docs, self.impact[span][place], 0.0)
 
-    def seeds(self, terms: np.ndarray, idf: np.ndarray, k: int) -> np.ndarray:
-        """k scores of documents (fewer if there are not so many) that the rarer terms point to, best first."""
-        at, idf, n = self.places(terms, idf)
-        rare = np.argsort(n, kind="stable")
-        cut = 1 + np.searchsorted(np.cumsum(n[rare]), max(SEEDS * k, SEED_SHARE * n.sum()))
-        got = self.walk(at[rare[:cut]], idf[rare[:cut]], n[rare[:cut]])
-        docs = np.flatnonzero(got)
-        if len(docs) > SEEDS * k:
-            docs = np.sort(docs[np.argpartition(-got[docs], SEEDS * k)[: SEEDS * k]])
-        sums = got[docs]
-        for t, w in zip(at[rare[cut:]], idf[rare[cut:]], strict=True):
-            sums += w * self.look_up(t, docs)
-        return np.sort(np.round(sums, DIGITS))[::-1][:k]
+    def score(self, docs: np.ndarray, at: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """The scores of some documents for the terms at the given places."""
+        a, b = self.start_of[docs], self.start_of[docs + 1]
+        cuts = np.flatnonzero(np.diff(np.cumsum(b - a) // SCORES)) + 1
+        self.weight[at] = idf
+        got = []
+        for first, last in zip(np.split(a, cuts), np.split(b, cuts), strict=True):
+            own = ranges(first, last)
+            got.append(np.bincount(np.repeat(np.arange(len(first)), last - first), self.weight[self.terms_of[own]] * self.impact_of[own], len(first)))
+        self.weight[at] = 0
+        return np.round(np.concatenate(got), DIGITS)
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for each of some queries (terms, idf, least)."""
+        size = max(1, SCORES // max(1, *self.matrix.shape))
+        for first in range(0, len(queries), size):
+            batch = [(*self.places(terms, idf), least) for terms, idf, least in queries[first : first + size]]
+            asked = np.zeros((len(batch), len(self.matrix)), np.float32)
+            for i, (at, idf, _, _) in enumerate(batch):
+                common = self.row[at] >= 0
+                asked[i, self.row[at[common]]] = idf[common]
+            for (at, idf, n, least), got in zip(batch, asked @ self.matrix, strict=True):
+                rare = self.row[at] < 0
+                yield self.best(self.walk(at[rare], idf[rare], n[rare]) + got, at, idf, k, least)
+
+    def best(self, near: np.ndarray, at: np.ndarray, idf: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The result of ``search``, given each document's score but for the error of single precision."""
+        # the k-th of the best of some groups of documents is at most the k-th of all
+        groups = max(1, len(near) // 32)
+        heads = near[: len(near) // groups * groups].reshape(-1, groups).max(axis=0) if groups >= k else near
+        if len(heads) >= k:
+            least = max(least, np.partition(heads, -k)[-k] * (1 - self.error))
+        docs = np.flatnonzero(near > max(0.0, (least - SLACK) * (1 - self.error)))
+        if len(docs) > k:
+            least = max(least, np.partition(near[docs], -k)[-k] * (1 - self.error))
+            docs = docs[near[docs] > (least - SLACK) * (1 - self.error)]
+        sums = self.score(docs, at, idf)
+        order = np.lexsort((self.tie[docs], -sums))[:k]
+        return docs[order], sums[order]
 
     def search(self, terms: np.ndarray, idf: np.ndarray, k: int, least: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
         """The k best documents (places in the shard) with at least the score ``least``, and their scores, best first."""
-        at, idf, n = self.places(terms, idf)
-        top = idf * self.most[at]
-        order = np.argsort(top / n, kind="stable")  # most postings for the least bound first
-        cut = np.searchsorted(np.cumsum(top[order]), least - SLACK)
-        common, walked = order[:cut], order[cut:]
-        got = self.walk(at[walked], idf[walked], n[walked])
-        docs = np.flatnonzero(got)
-        left = top[common].sum()
-
-        def raised(sums: np.ndarray, least: float) -> float:
-            return max(least, np.partition(sums, -k)[-k]) if len(sums) >= k else least
-
-        def those(stay: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return docs[stay], sums[stay]
-
-        sums = got[docs]
-        least = raised(sums, least)
-        docs, sums = those(sums + left >= least - SLACK)
-        if len(common) and len(docs) > k:
-            a, b = self.block_of_term[at[common]], self.block_of_term[at[common] + 1]
-            entry = ranges(a, b)
-            most = np.bincount(self.block[entry], np.repeat(idf[common], b - a) * self.block_max[entry], self.blocks)
-            docs, sums = those(sums + most[docs // BLOCK] >= least - SLACK)
-        for i, c in enumerate(common[np.argsort(-top[common], kind="stable")]):
-            if not len(docs):
-                break
-            sums += idf[c] * self.look_up(at[c], docs)
-            left -= top[c]
-            if i % 4 == 0:
-                least = raised(sums, least)
-                docs, sums = those(sums + left >= least - SLACK)
-        sums = np.round(sums, DIGITS)
-        best = np.lexsort((self.tie[docs], -sums))[:k]
-        return docs[best], sums[best]
+        return next(self.search_all([(terms, idf, least)], k))
+
+    def seeds(self, terms: np.ndarray, idf: np.ndarray, k: int) -> np.ndarray:
+        """The k best scores in this shard (fewer if there are not so many), best first."""
+        return self.search(terms, idf, k)[1]
 
 
 def ranges(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -249,25 +265,30 @@ def write_blocks(queries: DataFrame, folder: str, parts: int, name: str) -> Data
     return stage(queries.repartition(parts).mapInPandas(write, "queries string"), name)
 
 
-def each_shard(groups: DataFrame, blocks: DataFrame, folder: str, parts: int, ask, columns: dict[str, str]) -> DataFrame:
-    """``ask(shard, query, terms, idf, least)`` gives rows of ``columns``; run for every query in every shard.
+def each_shard(groups: DataFrame, blocks: DataFrame, folder: str, ask, columns: dict[str, str]) -> DataFrame:
+    """``ask(shard, queries)`` gives rows of ``columns`` for queries (query, terms, idf, least); run for every query in every shard.
 
-    What is paired are names of files: every shard is searched for every block of queries.
+    What is paired are names of files.  A task reads its shard once and searches it for up to ``TASK_BLOCKS`` blocks of
+    queries; where there are more blocks, or fewer shards than cores, several tasks deal the blocks of a shard among them.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = open_store(folder)
         for pdf in batches:
-            for paths, mean, name in zip(pdf["paths"], pdf["mean"], pdf["queries"], strict=True):
-                shard, q, rows = Shard([_load(store, p) for p in sorted(paths)], mean), _load(store, name), []
-                for i, query in enumerate(q["query"]):
-                    span = slice(q["cut"][i], q["cut"][i + 1])
-                    rows += ask(shard, query, q["terms"][span], q["idf"][span], q["least"][i]) if len(shard.term) else []
-                yield pd.DataFrame(rows, columns=list(columns)).astype(columns)
-
-    names = blocks.agg(F.collect_list("queries").alias("queries")).withColumn("one", F.lit(1))
-    tasks = groups.withColumn("one", F.lit(1)).join(F.broadcast(names), "one").select("paths", "mean", F.explode("queries").alias("queries"))
+            for paths, mean, names in zip(pdf["paths"], pdf["mean"], pdf["names"], strict=True):
+                shard = Shard((_load(store, p) for p in sorted(paths)), mean)
+                for name in names if len(shard.term) else []:
+                    q = _load(store, name)
+                    spans = [slice(a, b) for a, b in zip(q["cut"][:-1], q["cut"][1:], strict=True)]
+                    queries = [(query, q["terms"][s], q["idf"][s], least) for query, s, least in zip(q["query"], spans, q["least"], strict=True)]
+                    for first in range(0, len(queries), ROWS_OF):
+                        yield pd.DataFrame(ask(shard, queries[first : first + ROWS_OF]), columns=list(columns)).astype(columns)
+
+    shards, files = max(1, groups.count()), max(1, blocks.count())
+    lanes = min(files, max(-(-files // TASK_BLOCKS), -(-2 * groups.sparkSession.sparkContext.defaultParallelism // shards)))
+    dealt = blocks.withColumn("lane", F.pmod(F.row_number().over(Window.orderBy("queries")), F.lit(lanes))).groupBy("lane").agg(F.collect_list("queries").alias("names"))
+    tasks = groups.select("paths", "mean").crossJoin(F.broadcast(dealt))
     schema = ", ".join(f"{c} {'long' if t == 'int64' else 'double'}" for c, t in columns.items())
-    return tasks.repartition(max(1, groups.count() * parts)).mapInPandas(run, schema)
+    return tasks.repartition(shards * lanes).mapInPandas(run, schema)
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -280,7 +301,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     # small files are searched together: a running sum over the files' names and sizes
     end = F.sum("postings").over(Window.orderBy("path"))
     groups = shards.select("path", F.floor((end - F.col("postings") / 2) / SHARD_POSTINGS).alias("group")).groupBy("group")
-    groups = stage(groups.agg(F.collect_list("path").alias("paths")).select("paths", F.lit(mean).alias("mean")), "groups")
+    groups = stage(groups.agg(F.collect_list("path").alias("paths")).select("group", "paths", F.lit(mean).alias("mean")), "groups")
 
     asked = queries.select("query_id", F.explode(F.array_distinct(hashed_terms(F.col("text")))).alias("term")).distinct()
     idf = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -293,19 +314,19 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     asked_terms = once.agg(F.sum(F.size("terms"))).first()[0] or 0
     parts = max(1, -(-asked_terms // QUERY_TERMS))
 
-    def seeds(shard: Shard, query: int, terms: np.ndarray, idf: np.ndarray, least: float) -> list[tuple]:
-        return [(query, s) for s in shard.seeds(terms, idf, k)]
-
-    def best(shard: Shard, query: int, terms: np.ndarray, idf: np.ndarray, least: float) -> list[tuple]:
-        docs, scores = shard.search(terms, idf, k, least)
-        return [(query, shard.doc_id[d], s) for d, s in zip(docs, scores, strict=True)]
-
-    blocks = write_blocks(once.withColumn("least", F.lit(-1.0)), folder, parts, "seed-blocks")
-    seen = each_shard(groups, blocks, folder, parts, seeds, {"query": "int64", "score": "float64"})
-    kth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
-    least = stage(seen.withColumn("rank", kth).where(F.col("rank") <= k).groupBy("query").agg(F.when(F.count("*") == k, F.min("score")).alias("least")), "thresholds")
-    blocks = write_blocks(once.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(-1.0))), folder, parts, "query-blocks")
-    found = each_shard(groups, blocks, folder, parts, best, {"query": "int64", "doc_id": "int64", "score": "float64"})
+    def best(shard: Shard, queries: list[tuple]) -> list[tuple]:
+        found = zip(queries, shard.search_all([q[1:] for q in queries], k), strict=True)
+        return [(q[0], shard.doc_id[d], s) for q, (docs, scores) in found for d, s in zip(docs, scores, strict=True)]
+
+    columns = {"query": "int64", "doc_id": "int64", "score": "float64"}
+    lead = groups.where(F.col("group") % LEAD == LEAD - 1)
+    once = once.withColumn("least", F.lit(-1.0))
+    if not lead.isEmpty():
+        seen = each_shard(lead, write_blocks(once, folder, parts, "lead-blocks"), folder, best, columns)
+        kth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+        least = stage(seen.withColumn("rank", kth).where(F.col("rank") == k).select("query", F.col("score").alias("bound")), "thresholds")
+        once = once.join(least, "query", "left").withColumn("least", F.coalesce("bound", "least")).drop("bound")
+    found = each_shard(groups, write_blocks(once, folder, parts, "query-blocks"), folder, best, columns)
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), (F.col("doc_id") == NO_DOC), "doc_id"))
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.join(members, "query").select("query_id", "rank", F.when(F.col("doc_id") != NO_DOC, F.col("doc_id")).alias("doc_id"), "score")

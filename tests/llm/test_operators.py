@@ -285,6 +285,62 @@ def test_pruned_search_is_exact():
             assert docs.tolist() == want.tolist() and np.allclose(scores, full[want], atol=2e-6)
 
 
+def test_common_terms_are_not_walked(monkeypatch):
+    """Lists that many documents hold are multiplied as a matrix for a batch of queries; equal documents beyond the postings scored at once all count."""
+    rng = np.random.default_rng(8)
+    lists = [np.unique(np.r_[rng.integers(0, 40, 30), rng.integers(40, 20000, 20)]) for _ in range(2000)]
+    lists += [lists[3]] * 300
+    doc, term = np.repeat(np.arange(2300, dtype=np.int32), [len(x) for x in lists]), np.concatenate(lists)
+    order = np.argsort(term, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(term[order]) != 0])
+    file = {"doc_id": np.arange(2300)[::-1].copy(), "length": np.array([len(x) for x in lists], np.int32), "term": term[order][first], "start": np.r_[first, len(term)], "doc": doc[order], "count": rng.integers(1, 4, len(term)).astype(np.int32)}
+    file["count"][np.isin(file["doc"], [3, *range(2000, 2300)])] = 1
+    shard = search.Shard([file], 30.0)
+    df = np.diff(shard.start)
+    asked = [(lists[q], np.log1p((2300 - df + 0.5) / (df + 0.5))[np.searchsorted(shard.term, lists[q])]) for q in (0, 3, 700, 1999)]
+    want = []
+    for terms, idf in asked:
+        full = np.round(sum(w * shard.look_up(t, np.arange(2300)) for t, w in zip(np.searchsorted(shard.term, terms), idf, strict=True)), search.DIGITS)
+        best = np.lexsort((shard.doc_id, -full))[:10]
+        want.append((best.tolist(), full[best]))
+    seen, walk, look_up = [], search.Shard.walk, search.Shard.look_up
+    monkeypatch.setattr(search, "SCORES", 5000)
+    monkeypatch.setattr(search.Shard, "walk", lambda self, at, idf, n: seen.append(n.sum()) or walk(self, at, idf, n))
+    monkeypatch.setattr(search.Shard, "look_up", lambda self, t, docs: seen.append(len(docs)) or look_up(self, t, docs))
+    for (terms, idf), (docs, scores) in zip(asked, want, strict=True):
+        seen.clear()
+        got = shard.search(terms, idf, 10)
+        assert got[0].tolist() == docs and np.allclose(got[1], scores, atol=2e-6)
+        assert sum(seen) < 0.05 * df[np.searchsorted(shard.term, terms)].sum()
+    got = list(shard.search_all([(terms, idf, scores[-1]) for (terms, idf), (_, scores) in zip(asked, want, strict=True)], 10))
+    assert [docs.tolist() for docs, _ in got] == [docs for docs, _ in want]
+
+
+def test_many_shards_and_blocks_find_what_one_finds(spark, monkeypatch):
+    """Thresholds come from one of ``LEAD`` shards, and each shard is searched for all blocks of queries."""
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 50) if x < 2000) for _ in range(600)]
+    rows = [(k if k % 97 else None, texts[k % 40] if k % 3 == 0 else texts[k]) for k in range(600)] + [(700, None), (750, ""), (50, "w1 w2 w3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).persist()
+    asked = docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("query_id"), "text")
+
+    def found():
+        return [tuple(r) for r in search.search(docs, asked, 10).orderBy("query_id", "rank").collect()]
+
+    want = found()
+    assert len({r[0] for r in want}) > 100
+    passes, each_shard = [], search.each_shard
+    with monkeypatch.context() as m:
+        m.setattr(search, "SHARD_POSTINGS", 700)
+        m.setattr(search, "QUERY_TERMS", 500)
+        m.setattr(search, "each_shard", lambda groups, blocks, *rest: passes.append((groups.count(), blocks.count())) or each_shard(groups, blocks, *rest))
+        got = found()
+    (lead, blocks), (shards, _) = passes
+    assert 1 <= lead <= shards / 4 and blocks > 1
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], atol=2e-6)
+
+
 def test_shards(edges, spark):
     got = rows_of(sharding.op8(edges))
     assert len(got) == edges.count() and all(r["size"] >= 1 for r in got)
