@@ -21,7 +21,7 @@ rows; columns other than doc_id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,8 +35,8 @@ from roamkit.llm.shared import python_tasks, stage
 
 BITS, SAMPLE, MAX_TERMS, FACTORS, THRESHOLD = 30, 8_000, 4_096, 4, 0.7
 MASK, WORD = (1 << BITS) - 1, regex.compile(r"\w+")
-#: Chunks whose terms a worker keeps.
-KEPT = 300_000
+#: Chunks whose terms a task keeps while it scores, and letters of the longest one kept: about 15 MB, freed with the task.
+KEPT, KEPT_LETTERS = 100_000, 32
 
 
 def chunk_terms(chunk: str) -> list[int]:
@@ -148,32 +148,32 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Factorizati
     return fit([list(r["at"]) for r in got], np.array([r["toxic"] for r in got], dtype=float), chosen, counts=np.array([r["stands_for"] for r in got], dtype=float))
 
 
-#: Terms of chunks a worker has seen, by model.
-SEEN: dict[bytes, dict[str, tuple[int, ...]]] = {}
+def places(texts: Iterable[str], place: dict[int, int], seen: dict[str, tuple[int, ...]]) -> list[list[int]]:
+    """Places of each text's chosen terms; ``seen`` takes those of chunks, up to ``KEPT`` of them."""
+    docs_at = []
+    for text in texts:
+        hits: set[int] = set()
+        for chunk in set(text.lower().split()):
+            got = seen.get(chunk)
+            if got is None:
+                got = tuple(place[t] for t in chunk_terms(chunk) if t in place)
+                if len(seen) < KEPT and len(chunk) <= KEPT_LETTERS:
+                    seen[chunk] = got
+            if got:
+                hits.update(got)
+        docs_at.append(sorted(hits))
+    return docs_at
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
     """doc_id and score of every row."""
     python_tasks(docs.sparkSession)
-    key = xxhash.xxh64_digest(model.terms.tobytes())
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         place = {int(t): i for i, t in enumerate(model.terms)}
-        seen = SEEN.setdefault(key, {})
+        seen: dict[str, tuple[int, ...]] = {}  # of this task: a worker outlives many models
         for pdf in batches:
-            docs_at = []
-            for text in pdf["text"]:
-                hits: set[int] = set()
-                for chunk in set(text.lower().split()):
-                    got = seen.get(chunk)
-                    if got is None:
-                        got = tuple(place[t] for t in chunk_terms(chunk) if t in place)
-                        if len(seen) < KEPT:
-                            seen[chunk] = got
-                    if got:
-                        hits.update(got)
-                docs_at.append(sorted(hits))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": model.scores(docs_at)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": model.scores(places(pdf["text"], place, seen))})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(work, "doc_id long, score double")
 

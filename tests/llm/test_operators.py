@@ -1,12 +1,15 @@
 """Edge rows and empty tables through every operator; results against plain versions."""
 import collections
+import gc
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from array import array
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -237,6 +240,43 @@ def test_thinned_classes_keep_their_share(spark):
     assert np.allclose(toxicity.fit(sampled, label, np.array([11, 22]), counts=counts).scores([[0], [1], []]), natural.scores([[0], [1], []]), atol=0.01)
 
 
+def test_scoring_keeps_nothing_of_earlier_models(spark):
+    """A worker outlives many models; what a task keeps of its texts is freed with the task."""
+    class Docs:
+        sparkSession = spark
+        select = lambda self, *_: self
+        mapInPandas = lambda self, work, _: work
+
+    pdf = pd.DataFrame({"doc_id": range(100), "text": [" ".join(f"w{k}x{i}" for i in range(200)) for k in range(100)]})
+
+    def scored(k):
+        model = toxicity.FactorizationMachine(np.arange(k, k + 3), 0.0, np.zeros(3), np.zeros((3, toxicity.FACTORS)))
+        return sum(len(x) for x in toxicity.score(Docs(), model)(iter([pdf])))
+
+    tracemalloc.start()
+    try:
+        assert scored(0) == 100
+        gc.collect()
+        before = tracemalloc.get_traced_memory()[0]
+        for k in range(1, 4):
+            scored(k)
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] - before < 500_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_kept_chunks_are_few_and_short(monkeypatch):
+    texts = ["short words and " + "long" * 100, "other short words", "long" * 100]
+    place = {t: k for k, t in enumerate(sorted(toxicity.terms(" ".join(texts))))}
+    plain = [sorted(place[t] for t in toxicity.terms(x)) for x in texts]
+    seen = {}
+    assert toxicity.places(texts, place, seen) == toxicity.places(texts, place, seen) == plain
+    assert set(seen) == {"short", "words", "and", "other"}
+    monkeypatch.setattr(toxicity, "KEPT", 2)
+    assert toxicity.places(texts, place, few := {}) == plain and len(few) == 2
+
+
 def test_search_against_brute_force(spark, edges):
     rng = np.random.default_rng(4)
     rows = [(k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 40) if x < 3000)) for k in range(500)] + [(900, None), (901, "")]
